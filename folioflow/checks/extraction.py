@@ -46,10 +46,10 @@ def _folded(markup: Column) -> Column:
     return F.trim(F.regexp_replace(plain, r"\s+", " "))
 
 
-_HEADING = "trim(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'), '&amp;', '&'))"
+_HEADING = "trim(replace(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'), '&quot;', chr(34)), '&amp;', '&'))"
 _ARTICLE = (
-    "trim(regexp_replace(replace(regexp_replace(regexp_extract(html, '<article>(.*?)</article>', 1, 's'),"
-    r" '<[^>]*>', ' ', 'g'), '&amp;', '&'), '\s+', ' ', 'g'))"
+    "trim(regexp_replace(replace(replace(regexp_replace(regexp_extract(html, '<article>(.*?)</article>', 1, 's'),"
+    r" '<[^>]*>', ' ', 'g'), '&quot;', chr(34)), '&amp;', '&'), '\s+', ' ', 'g'))"
 )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,6 +40,11 @@ def _unsplit(scheme: Column, netloc: Column, path: Column, query: Column, fragme
     )
 
 
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with ``value`` evaluated once, however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def _remove_dots(segments: Column) -> Column:
     def step(done: Column, seg: Column) -> Column:
         return (
@@ -49,48 +54,51 @@ def _remove_dots(segments: Column) -> Column:
         )
 
     kept = F.aggregate(segments, F.array().cast("array<string>"), step)
-    last = F.element_at(segments, -1)
-    closed = F.when(last.isin(".", ".."), F.array_append(kept, F.lit(""))).otherwise(kept)
-    joined = F.array_join(closed, "/")
-    return F.when(joined == "", F.lit("/")).otherwise(joined)
+    # A dot segment at the end stands for the folder itself.
+    closing = F.when(F.element_at(segments, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(
+        F.array().cast("array<string>")
+    )
+    return F.array_join(F.concat(kept, closing), "/")
 
 
 def _merge_paths(base_path: Column, path: Column) -> Column:
     """Path of a relative or rooted reference against the base path."""
-    base = F.split(base_path, "/")
-    folder = F.when(F.element_at(base, -1) == "", base).otherwise(F.slice(base, F.lit(1), F.size(base) - 1))
-    chain = F.concat(folder, F.split(path, "/"))
-    inner = F.filter(F.slice(chain, F.lit(2), F.greatest(F.size(chain) - 2, F.lit(0))), lambda s: s != "")
-    relative = F.when(F.size(chain) < 2, chain).otherwise(
-        F.concat(F.slice(chain, 1, 1), inner, F.slice(chain, -1, 1))
-    )
-    segments = F.when(path.startswith("/"), F.split(path, "/")).otherwise(relative)
-    plain = F.array_join(segments, "/")
-    # Folding the array is only paid for by paths that hold a dot segment.
-    return F.when(plain.rlike(_DOT_SEGMENT), _remove_dots(segments)).otherwise(
-        F.when(plain == "", F.lit("/")).otherwise(plain)
-    )
+    folder = F.regexp_replace(base_path, r"[^/]*$", "")
+    # Empty segments vanish between folder and leaf, but not in a rooted path.
+    inner = F.regexp_replace(F.concat(folder, path), r"//+", "/")
+    joined = F.when(path.startswith("/"), path).otherwise(inner)
+
+    def without_dots(plain: Column) -> Column:
+        # Folding the segments is only paid for by paths that hold a dot segment.
+        return F.when(plain.rlike(_DOT_SEGMENT), _remove_dots(F.split(plain, "/"))).otherwise(plain)
+
+    return _let(joined, lambda plain: _let(without_dots(plain), lambda p: F.when(p == "", F.lit("/")).otherwise(p)))
 
 
 def resolve_url(base: Column | str, href: Column | str) -> Column:
     """Absolute URL of ``href`` found on page ``base`` (RFC 3986 reference resolution)."""
     base, href = _col(base), _col(href)
-    ref, root = _without_controls(href), _without_controls(base)
-    scheme, netloc, path = F.lower(_part(ref, 1)), _part(ref, 2), _part(ref, 3)
-    query, fragment = _part(ref, 4), _part(ref, 5)
-    b_scheme, b_netloc, b_path, b_query = F.lower(_part(root, 1)), _part(root, 2), _part(root, 3), _part(root, 4)
-    own = F.when(scheme == "", b_scheme).otherwise(scheme)
-
-    same_page = _unsplit(own, b_netloc, b_path, F.when(query == "", b_query).otherwise(query), fragment)
-    joined = _unsplit(own, b_netloc, _merge_paths(b_path, path), query, fragment)
-    return (
-        F.when(base == "", href)
-        .when(href == "", base)
-        .when((own != b_scheme) | ~own.isin(*_HIERARCHICAL), href)
-        .when(netloc != "", _unsplit(own, netloc, path, query, fragment))
-        .when(path == "", same_page)
-        .otherwise(joined)
-    )
+
+    def parts(url: Column, prefix: str) -> list[Column]:
+        names = ("scheme", "netloc", "path", "query", "fragment")
+        found = {n: _part(url, i) for i, n in enumerate(names, 1)}
+        found["scheme"] = F.lower(found["scheme"])
+        return [c.alias(prefix + n) for n, c in found.items()]
+
+    def resolved(p: Column) -> Column:
+        scheme = F.when(p["scheme"] == "", p["b_scheme"]).otherwise(p["scheme"])
+        query = F.when((p["path"] == "") & (p["query"] == "") & (p["netloc"] == ""), p["b_query"]).otherwise(p["query"])
+        path = (
+            F.when(p["netloc"] != "", p["path"])
+            .when(p["path"] == "", p["b_path"])
+            .otherwise(_merge_paths(p["b_path"], p["path"]))
+        )
+        netloc = F.when(p["netloc"] == "", p["b_netloc"]).otherwise(p["netloc"])
+        whole = _let(path, lambda made: _unsplit(scheme, netloc, made, query, p["fragment"]))
+        return F.when((scheme != p["b_scheme"]) | ~scheme.isin(*_HIERARCHICAL), href).otherwise(whole)
+
+    both = F.struct(*parts(_without_controls(href), ""), *parts(_without_controls(base), "b_"))
+    return F.when(base == "", href).when(href == "", base).otherwise(_let(both, resolved))
 
 
 def _query_escape(text: Column) -> Column:
@@ -98,39 +106,51 @@ def _query_escape(text: Column) -> Column:
     return F.replace(F.replace(F.url_encode(text), F.lit("%7E"), F.lit("~")), F.lit("*"), F.lit("%2A"))
 
 
-def set_query_param(url: Column | str, name: Column | str, value: Column | str) -> Column:
-    """``url`` with one query parameter set.
+def query_param_slot(url: Column | str, name: str) -> Column:
+    """Struct (head, tail): the text around the value of one query parameter of ``url``.
 
-    Other parameters stay, repeats are grouped at their first position, blank
-    ones go, and so does the fragment. ``name`` is a literal when given as text.
+    Other parameters stay, repeats are grouped at their first position, blank ones
+    go, and so does the fragment. A parameter that is not there yet comes last.
     """
     url = _without_controls(_col(url))
-    name = F.lit(name) if isinstance(name, str) else name
-    value = _col(value).cast("string")
+    start = F.concat(F.lower(_part(url, 1)), F.lit("://"), _part(url, 2), _part(url, 3), F.lit("?"))
 
-    def decoded(text: Column) -> Column:
-        return F.coalesce(F.try_url_decode(text), text)
+    def recoded(text: Column) -> Column:
+        return _query_escape(F.coalesce(F.try_url_decode(text), text))
 
     pairs = F.transform(
         F.filter(F.split(_part(url, 4), "&"), lambda p: p.rlike("(?s)^[^=]*=.")),
         lambda p: F.struct(
-            decoded(F.substring_index(p, "=", 1)).alias("k"),
-            decoded(F.regexp_extract(p, "(?s)^[^=]*=(.*)$", 1)).alias("v"),
+            recoded(F.substring_index(p, "=", 1)).alias("k"),
+            recoded(F.regexp_extract(p, "(?s)^[^=]*=(.*)$", 1)).alias("v"),
         ),
     )
-    names = F.array_distinct(F.array_append(F.transform(pairs, lambda p: p["k"]), name))
-    grouped = F.flatten(
-        F.transform(
-            names,
-            lambda n: F.when(n == name, F.array(F.struct(n.alias("k"), value.alias("v")))).otherwise(
-                F.filter(pairs, lambda p: p["k"] == n)
-            ),
-        )
-    )
-    query = F.array_join(
-        F.transform(grouped, lambda p: F.concat(_query_escape(p["k"]), F.lit("="), _query_escape(p["v"]))), "&"
-    )
-    return F.concat(F.lower(_part(url, 1)), F.lit("://"), _part(url, 2), _part(url, 3), F.lit("?"), query)
+    key = _query_escape(F.lit(name))
+
+    def slot(p: Column) -> Column:
+        names = F.array_distinct(F.transform(p, lambda x: x["k"]))
+
+        def written(some: Column) -> Column:
+            grouped = F.flatten(F.transform(some, lambda n: F.filter(p, lambda x: x["k"] == n)))
+            return F.array_join(F.transform(grouped, lambda x: F.concat(x["k"], F.lit("="), x["v"])), "&")
+
+        def around(names: Column) -> Column:
+            size, at = F.size(names), F.array_position(names, key).cast("int")
+            before = F.when(at > 0, F.slice(names, F.lit(1), F.greatest(at - 1, F.lit(0)))).otherwise(names)
+            after = F.when(at > 0, F.slice(names, at + 1, size)).otherwise(F.slice(names, F.lit(1), F.lit(0)))
+            head = F.concat(written(before), F.when(F.size(before) > 0, F.lit("&")).otherwise(""), key, F.lit("="))
+            tail = F.concat(F.when(F.size(after) > 0, F.lit("&")).otherwise(""), written(after))
+            return F.struct(F.concat(start, head).alias("head"), tail.alias("tail"))
+
+        return _let(names, around)
+
+    return _let(pairs, slot)
+
+
+def set_query_param(url: Column | str, name: str, value: Column | str) -> Column:
+    """``url`` with one query parameter set (see ``query_param_slot``)."""
+    text = _query_escape(_col(value).cast("string"))
+    return _let(query_param_slot(url, name), lambda s: F.concat(s["head"], text, s["tail"]))
 
 
 def query_param(url: Column | str, name: str) -> Column:

@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.functions.urls import query_param, resolve_url, set_query_param
+from folioflow.functions.urls import query_param, query_param_slot, resolve_url
 from folioflow.operators.extraction import dom_select, listing_fields
 from folioflow.rules import Rules, SiteRules, allowed_by_rules, by_site
-from folioflow.session import ensure_checkpoint_dir
+from folioflow.session import cut_lineage
 
 PAGE_CHUNK = 10_000
 MAX_DEPTH = 10  # fixed value: crawl depth limit
@@ -164,16 +164,18 @@ def expand_pages(listings: DataFrame, rules: Rules, last: str = "last") -> DataF
     )
     number = F.regexp_extract(F.coalesce(number.cast("string"), F.lit("")), r"^\s*\+?(\d+)\s*$", 1)
     keep = [c for c in listings.columns if c not in ("links", "editions", "next", "last")]
-    ranged = listings.select(*keep, number.try_cast("bigint").alias("_last")).filter(F.col("_last") >= 1)
-    chunks = ranged.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_last") - 1) / PAGE_CHUNK))))
+    slot = by_site("site", rules, lambda r: query_param_slot("url", r.page_param))
+    ranged = listings.select(*keep, number.try_cast("bigint").alias("_last"), slot.alias("_slot"))
+    last_chunk = F.floor((F.col("_last") - 1) / PAGE_CHUNK)
+    chunks = ranged.filter(F.col("_last") >= 1).withColumn(
+        "_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk))
+    )
     first = F.col("_chunk") * PAGE_CHUNK + 1
-    pages = (
-        chunks.repartition("url", "_chunk")
-        .withColumn("page_no", F.explode(F.sequence(first, F.least(F.col("_last"), first + PAGE_CHUNK - 1))))
-        .drop("_last", "_chunk")
+    pages = chunks.repartition("url", "_chunk").withColumn(
+        "page_no", F.explode(F.sequence(first, F.least(F.col("_last"), first + PAGE_CHUNK - 1)))
     )
-    built = by_site("site", rules, lambda r: set_query_param("from_url", r.page_param, F.col("page_no")))
-    return pages.withColumnRenamed("url", "from_url").withColumn("url", built)
+    built = F.concat("_slot.head", F.col("page_no").cast("string"), "_slot.tail")
+    return pages.withColumnRenamed("url", "from_url").withColumn("url", built).drop("_last", "_chunk", "_slot")
 
 
 # ---- hops over stored links -----------------------------------------------------------
@@ -188,11 +190,6 @@ def two_hop(first: DataFrame, second: DataFrame) -> DataFrame:
     return second.drop("listing_category").join(middle, ["site", "from_url"])
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def follow_next(seeds: DataFrame, edges: DataFrame, max_steps: int | None = None) -> DataFrame:
     """Pages reached from the seeds over "next" links, with their seed's category.
 
@@ -200,11 +197,11 @@ def follow_next(seeds: DataFrame, edges: DataFrame, max_steps: int | None = None
     most one per page. Each round doubles the length of the jumps, so a chain of n
     pages takes log2(n) rounds. A page on several chains belongs to the nearest seed.
     """
-    reached = _checkpoint(seeds.select("site", "url", "ord", "listing_category", F.lit(0).cast("long").alias("depth")))
+    reached = cut_lineage(seeds.select("site", "url", "ord", "listing_category", F.lit(0).cast("long").alias("depth")))
     jumps = edges.groupBy("site", "from_url").agg(F.min("url").alias("url")).withColumn("_len", F.lit(1).cast("long"))
     count = reached.count()
     while True:
-        jumps = _checkpoint(jumps)
+        jumps = cut_lineage(jumps)
         ahead = (
             reached.withColumnRenamed("url", "from_url")
             .join(jumps, ["site", "from_url"])
@@ -213,7 +210,7 @@ def follow_next(seeds: DataFrame, edges: DataFrame, max_steps: int | None = None
         )
         if max_steps is not None:
             ahead = ahead.filter(F.col("depth") <= max_steps)
-        reached = _checkpoint(first_seen(reached.unionByName(ahead), order=["depth", "ord"]))
+        reached = cut_lineage(first_seen(reached.unionByName(ahead), order=["depth", "ord"]))
         grown = reached.count()
         if grown == count:
             return reached
@@ -238,13 +235,13 @@ def reachable(
     targets are made distinct before they meet the visited set.
     """
     frontier = seeds.select("site", "url").distinct().withColumn("depth", F.lit(0))
-    frontier = _checkpoint(frontier)
+    frontier = cut_lineage(frontier)
     visited = frontier
     for depth in range(1, max_depth + 1):
         sources = frontier.select("site", F.col("url").alias("from_url"))
         step = links(sources) if callable(links) else links.join(sources, ["site", "from_url"], "left_semi")
         targets = step.select("site", "url").distinct()
-        frontier = _checkpoint(
+        frontier = cut_lineage(
             targets.join(visited.select("site", "url"), ["site", "url"], "left_anti").withColumn("depth", F.lit(depth))
         )
         if frontier.isEmpty():

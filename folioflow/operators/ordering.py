@@ -16,10 +16,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioflow.session import estimated_bytes
+
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 1000
 CUTS = 256
 SAMPLE_PER_KEY = 4096
+MIN_ROW_BYTES = 32
 BUCKET = "_bucket"
 
 
@@ -37,8 +40,15 @@ def lookup(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
     return joined.select("l.*", *[f"r.{c}" for c in extra])
 
 
-def order_cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Cut points of the hot keys: ``keys``, ``_cuts`` (ascending order values)."""
+def order_cuts(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int = HOT_ROWS
+) -> DataFrame | None:
+    """Cut points of the hot keys: ``keys``, ``_cuts`` (ascending order values).
+
+    None for an input too small to hold a hot key, which saves looking for one.
+    """
+    if estimated_bytes(df) < hot_rows * MIN_ROW_BYTES:
+        return None
     slim = df.select(*keys, F.struct(*order).alias("_ord"))
     # Heavy keys show up in a hash sample as well; small runs look at every row.
     step = max(1, hot_rows // 10_000)
@@ -62,8 +72,10 @@ def order_cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_row
     return sample.select(*keys, F.array_distinct(cuts).alias("_cuts"))
 
 
-def add_bucket(df: DataFrame, cuts: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def add_bucket(df: DataFrame, cuts: DataFrame | None, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Add ``_bucket``, growing with the order inside a hot key, and ``_hot``."""
+    if cuts is None:
+        return df.withColumn("_hot", F.lit(False)).withColumn(BUCKET, F.lit(0).cast("long"))
     here = F.struct(*order)
     bucket = F.size(F.filter("_cuts", lambda c: c < here)).cast("long")
     return (
@@ -85,15 +97,17 @@ def running_sum(
     """Sum of ``value`` over the rows of the key up to and including this one."""
     keys = list(keys)
     rows = df.withColumn("_v", value)
-    parts = add_bucket(rows, order_cuts(rows, keys, order, hot_rows), keys, order)
+    cuts = order_cuts(rows, keys, order, hot_rows)
+    parts = add_bucket(rows, cuts, keys, order)
     inside = Window.partitionBy(*keys, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    totals = parts.filter("_hot").groupBy(*keys, BUCKET).agg(F.sum("_v").alias("_t"))
-    offsets = totals.withColumn("_before", F.sum("_t").over(before)).drop("_t")
-    summed = lookup(parts.withColumn("_inside", F.sum("_v").over(inside)), offsets, [*keys, BUCKET])
-    return summed.withColumn(into, F.col("_inside") + F.coalesce(F.col("_before"), F.lit(0))).drop(
-        "_v", "_inside", "_before", BUCKET, "_hot"
-    )
+    summed = parts.withColumn(into, F.sum("_v").over(inside))
+    if cuts is not None:
+        totals = parts.filter("_hot").groupBy(*keys, BUCKET).agg(F.sum("_v").alias("_t"))
+        before = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = totals.withColumn("_before", F.sum("_t").over(before)).drop("_t")
+        summed = lookup(summed, offsets, [*keys, BUCKET])
+        summed = summed.withColumn(into, F.col(into) + F.coalesce(F.col("_before"), F.lit(0))).drop("_before")
+    return summed.drop("_v", BUCKET, "_hot")
 
 
 def rank_rows(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions.normalize import first_non_empty, item_hash, item_key, non_empty
 from folioflow.functions.urls import url_to_slug
+from folioflow.session import cut_lineage
 from folioflow.operators.ordering import BUCKET, HOT_ROWS, add_bucket, lookup, order_cuts, rank_rows, running_sum
 
 # An item without one of these is incomplete (but kept).
@@ -61,22 +62,29 @@ def detect_changes(
     # Keyless items need no order; their hash spreads them over all tasks.
     rows = rows.withColumn(BUCKET, F.when(has_key, F.col(BUCKET)).otherwise(F.xxhash64(*order)))
 
-    ends = rows.filter("_hot").groupBy(*keys, BUCKET).agg(F.max_by(hash_col, F.struct(*order)).alias("_end"))
-    by_bucket = Window.partitionBy(*keys).orderBy(BUCKET)
-    carry = ends.withColumn("_carry", F.lag("_end").over(by_bucket)).drop("_end")
-
+    known = None
     if seen is not None:
         known = seen.select(F.col("brand").alias(brand), F.col("url").alias(key), F.col("content_hash").alias("_known"))
-        first = ends.groupBy(*keys).agg(F.min(BUCKET).alias("_first"))
-        known = lookup(known, first, keys)
-        known = known.withColumn(BUCKET, F.coalesce("_first", F.lit(0).cast("long"))).drop("_first")
+    carry = None
+    if cuts is not None:
+        ends = rows.filter("_hot").groupBy(*keys, BUCKET).agg(F.max_by(hash_col, F.struct(*order)).alias("_end"))
+        by_bucket = Window.partitionBy(*keys).orderBy(BUCKET)
+        carry = ends.withColumn("_carry", F.lag("_end").over(by_bucket)).drop("_end")
+        if known is not None:
+            # Only the first bucket of a hot key follows the stored state.
+            first = ends.groupBy(*keys).agg(F.min(BUCKET).alias("_first"))
+            known = lookup(known, first, keys)
+    if known is not None:
+        at = F.coalesce("_first", F.lit(0).cast("long")) if carry is not None else F.lit(0).cast("long")
+        known = known.withColumn(BUCKET, at).select(*keys, BUCKET, "_known")
         rows = rows.join(known, [*keys, BUCKET], "left")
-    else:
-        rows = rows.withColumn("_known", F.lit(None).cast("string"))
 
     inside = Window.partitionBy(*keys, BUCKET).orderBy(*order)
-    rows = lookup(rows.withColumn("_prev", F.lag(hash_col).over(inside)), carry, [*keys, BUCKET])
-    prev = F.coalesce("_prev", "_carry", "_known")
+    rows = rows.withColumn("_prev", F.lag(hash_col).over(inside))
+    if carry is not None:
+        rows = lookup(rows, carry, [*keys, BUCKET])
+    before = ["_prev"] + ["_carry"] * (carry is not None) + ["_known"] * (known is not None)
+    prev = F.coalesce(*before)
     change = (
         F.when(~has_key | prev.isNull(), F.lit(NEW))
         .when(prev == F.col(hash_col), F.lit(UNCHANGED))
@@ -181,6 +189,7 @@ def _skip_taken(ranked: DataFrame, taken: DataFrame, hot_rows: int) -> DataFrame
     one, so the pushes are summed along the merged order of positions and f values.
     Unbroken runs of taken numbers share one f and are one row.
     """
+    ranked = cut_lineage(ranked)
     taken = taken.join(ranked.select("_base").distinct(), "_base", "left_semi")
     free_below = rank_rows(taken, ["_base"], ["_number"], "_pos", hot_rows).withColumn(
         "_at", F.col("_number") - (F.col("_pos") - 1)

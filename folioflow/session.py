@@ -47,19 +47,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` from a reliable checkpoint."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate; nothing is executed for it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def spread_small(df: DataFrame) -> DataFrame:
     """Give every core some rows of a small input before a Python stage.
 
-    Big inputs are returned untouched: their splits already keep the cluster
-    busy and page text must not cross the network for nothing. The decision uses
-    the optimizer's size estimate, so nothing is executed.
+    Big inputs are returned untouched: their splits already keep the cluster busy
+    and page text must not cross the network for nothing.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size < cores * SMALL_SPLIT_BYTES:
-        return df.repartition(cores)
-    return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if estimated_bytes(df) < cores * SMALL_SPLIT_BYTES else df
 
 
 def join_path(root: str, *parts: str) -> str:
