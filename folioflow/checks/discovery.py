@@ -205,9 +205,9 @@ def q_link_fallback(spark: SparkSession, d: str) -> DataFrame:
 @check(
     """
     WITH e AS (SELECT event_id, CASE WHEN event_type = 'error' THEN 0 ELSE CAST(props::JSON->>'k' AS INT) END AS n FROM events)
-    SELECT 'https://shop.example.org/list?tag=x&page=0&item=' || event_id AS from_url, n AS n_pages, n * (n + 1) // 2 AS sum_pages,
-           'https://shop.example.org/list?tag=x&page=1&item=' || event_id AS first_url
-    FROM e WHERE n > 0
+    SELECT 'https://shop.example.org/list?tag=x&page=0&item=' || event_id AS from_url, page_no,
+           'https://shop.example.org/list?tag=x&page=' || page_no || '&item=' || event_id AS url
+    FROM (SELECT event_id, unnest(range(1, n + 1)) AS page_no FROM e)
     """
 )
 def q_page_range(spark: SparkSession, d: str) -> DataFrame:
@@ -215,16 +215,12 @@ def q_page_range(spark: SparkSession, d: str) -> DataFrame:
     last = F.when(F.col("event_type") == "error", F.lit("?page=none")).otherwise(
         text("=/list?tag=x&page=", F.get_json_object("props", "$.k"), "=#bottom")
     )
-    listings = table(spark, d, "events").select(
+    listings = spread_small(table(spark, d, "events")).select(
         F.lit("shop").alias("site"),
         text("=https://shop.example.org/list?tag=x&page=0&item=", "event_id").alias("url"),
         last.alias("last"),
     )
-    pages = expand_pages(listings, rules)
-    first = F.min_by("url", "page_no").alias("first_url")
-    return pages.groupBy("from_url").agg(
-        F.count(F.lit(1)).alias("n_pages"), F.sum("page_no").alias("sum_pages"), first
-    )
+    return expand_pages(listings, rules).select("from_url", "page_no", "url")
 
 
 @check(
@@ -306,5 +302,5 @@ def q_sitemap(spark: SparkSession, d: str) -> DataFrame:
     # Status P: an XML text that breaks off.
     end = F.when(F.col("o_orderstatus") == "P", F.lit("<url><loc>")).otherwise(F.lit("</urlset>"))
     xml = F.concat(F.coalesce(start, F.lit("<urlset>")), first, blank, end)
-    maps = table(spark, d, "orders").select("o_orderkey", xml.alias("xml"))
+    maps = spread_small(table(spark, d, "orders")).select("o_orderkey", xml.alias("xml"))
     return sitemap_urls(maps).select("o_orderkey", "loc", "lastmod")

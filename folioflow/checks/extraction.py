@@ -203,7 +203,7 @@ def q_captcha(spark: SparkSession, d: str) -> DataFrame:
     mark = F.when(kind == "view", F.lit('<div class="CF-Turnstile">')).when(kind == "click", F.lit("hCaptcha")).otherwise("")
     late = F.when(kind == "error", F.lit("captcha")).otherwise("challenge_form")
     html = F.concat(F.lit("<html>"), F.repeat(F.lit("x "), 2400), mark, F.repeat(F.lit("y"), 300), late)
-    pages = table(spark, d, "events").select("event_id", html.alias("html"))
+    pages = spread_small(table(spark, d, "events")).select("event_id", html.alias("html"))
     return flag_captcha(pages).select("event_id", "captcha_detected")
 
 

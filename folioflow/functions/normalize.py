@@ -79,5 +79,8 @@ def item_key(source_url: Column | str, canonical_url: Column | str) -> Column:
 
 
 def is_captcha(html: Column | str) -> Column:
-    head = F.substring(F.coalesce(_col(html), F.lit("")), 1, CAPTCHA_WINDOW)
-    return head.rlike("(?i)" + "|".join(CAPTCHA_MARKS))
+    head = F.lower(F.substring(F.coalesce(_col(html), F.lit("")), 1, CAPTCHA_WINDOW))
+    hit = F.lit(False)
+    for mark in CAPTCHA_MARKS:
+        hit = hit | F.contains(head, F.lit(mark))
+    return hit

@@ -64,6 +64,9 @@ def _remove_dots(segments: Column) -> Column:
 def _merge_paths(base_path: Column, path: Column) -> Column:
     """Path of a relative or rooted reference against the base path."""
     folder = F.regexp_replace(base_path, r"[^/]*$", "")
+    # Parameters (";...") of the last segment take no part in dot removal.
+    params = F.regexp_extract(path, r"(;[^/]*)$", 1)
+    path = F.regexp_replace(path, r";[^/]*$", "")
     # Empty segments vanish between folder and leaf, but not in a rooted path.
     inner = F.regexp_replace(F.concat(folder, path), r"//+", "/")
     joined = F.when(path.startswith("/"), path).otherwise(inner)
@@ -72,7 +75,8 @@ def _merge_paths(base_path: Column, path: Column) -> Column:
         # Folding the segments is only paid for by paths that hold a dot segment.
         return F.when(plain.rlike(_DOT_SEGMENT), _remove_dots(F.split(plain, "/"))).otherwise(plain)
 
-    return _let(joined, lambda plain: _let(without_dots(plain), lambda p: F.when(p == "", F.lit("/")).otherwise(p)))
+    merged = _let(joined, lambda plain: _let(without_dots(plain), lambda p: F.when(p == "", F.lit("/")).otherwise(p)))
+    return F.concat(merged, params)
 
 
 def resolve_url(base: Column | str, href: Column | str) -> Column:

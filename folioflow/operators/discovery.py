@@ -159,9 +159,9 @@ def expand_pages(listings: DataFrame, rules: Rules, last: str = "last") -> DataF
     Long ranges are generated in chunks spread over the cluster, so neither a row nor
     a task ever holds a whole range.
     """
-    number = by_site(
-        "site", rules, lambda r: query_param(resolve_url("url", last), r.page_param) if r.last_page_selector else None
-    )
+    # The link's query is its own, or the page's when the link is empty or a fragment.
+    target = F.when(F.col(last).rlike(r"^\s*(#|$)"), F.col("url")).otherwise(F.col(last))
+    number = by_site("site", rules, lambda r: query_param(target, r.page_param) if r.last_page_selector else None)
     number = F.regexp_extract(F.coalesce(number.cast("string"), F.lit("")), r"^\s*\+?(\d+)\s*$", 1)
     keep = [c for c in listings.columns if c not in ("links", "editions", "next", "last")]
     slot = by_site("site", rules, lambda r: query_param_slot("url", r.page_param))
@@ -171,7 +171,9 @@ def expand_pages(listings: DataFrame, rules: Rules, last: str = "last") -> DataF
         "_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk))
     )
     first = F.col("_chunk") * PAGE_CHUNK + 1
-    pages = chunks.repartition("url", "_chunk").withColumn(
+    # A fixed number: AQE would merge these short rows into few tasks before they multiply.
+    tasks = int(listings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pages = chunks.repartition(tasks, "url", "_chunk").withColumn(
         "page_no", F.explode(F.sequence(first, F.least(F.col("_last"), first + PAGE_CHUNK - 1)))
     )
     built = F.concat("_slot.head", F.col("page_no").cast("string"), "_slot.tail")

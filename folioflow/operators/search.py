@@ -121,9 +121,9 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.where(norms == 0, 1.0, norms)
 
 
-def document_frequency(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> DataFrame:
-    """Number of documents each of the (bounded) terms occurs in; combined map-side."""
-    words = docs.select(F.explode(F.array_distinct(tokens(text_col))).alias("term"))
+def document_frequency(words: DataFrame, terms: DataFrame) -> DataFrame:
+    """Number of rows of ``words`` each of the (bounded) terms occurs in; combined map-side."""
+    words = words.select(F.explode(F.array_distinct("words")).alias("term"))
     return words.join(F.broadcast(terms), "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
@@ -154,7 +154,7 @@ def search_text(
             terms = sorted({t for r in rows for t in r[1]})
             if not terms:
                 continue
-            counts = document_frequency(docs, spark.createDataFrame([(t,) for t in terms], "term string"), text_col)
+            counts = document_frequency(table, spark.createDataFrame([(t,) for t in terms], "term string"))
             df = {r["term"]: r["df"] for r in counts.collect()}  # at most MAX_TERMS rows
             weights = np.zeros((len(terms), len(rows)))
             place = {t: i for i, t in enumerate(terms)}

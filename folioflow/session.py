@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,28 +30,37 @@ def build_session(app: str = "folioflow", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable.
+def shared_dir(spark: SparkSession) -> str:
+    """Folder for written-out intermediate tables of this application.
 
-    The shared folder the cluster names in ``spark.checkpoint.dir`` is used as it
-    is. Only a local session without one gets a temporary folder.
+    It lies in the shared folder the session names in ``spark.checkpoint.dir``. Only a
+    local session without one gets a temporary folder.
     """
     sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        sc.setCheckpointDir(shared)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="folioflow-checkpoint-"))
-    else:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        root = tempfile.mkdtemp(prefix="folioflow-checkpoint-")
+        sc.setCheckpointDir(root)
+    return join_path(root, f"folioflow-{sc.applicationId}")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """The rows of ``df`` from a reliable checkpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """The rows of ``df`` from a table written to the shared folder.
+
+    Unlike a checkpointed RDD the table is computed once, and its size is known to
+    the optimizer afterwards.
+    """
+    path = join_path(shared_dir(df.sparkSession), uuid.uuid4().hex)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_cuts(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def estimated_bytes(df: DataFrame) -> int:
