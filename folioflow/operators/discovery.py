@@ -13,6 +13,7 @@ from folioflow.rules import Rules, SiteRules, allowed_by_rules, by_site
 from folioflow.session import cut_lineage
 
 PAGE_CHUNK = 10_000
+MAX_LITERAL_SEEDS = 5000
 MAX_DEPTH = 10  # fixed value: crawl depth limit
 SEED_SCHEMA = "site string, ord int, url string, listing_category string, route string"
 
@@ -31,27 +32,17 @@ def seed(spark: SparkSession, rules: Rules) -> DataFrame:
     return spark.createDataFrame(rows, SEED_SCHEMA)
 
 
-def seed_pages(pages: DataFrame, rules: Rules, site: str = "site") -> DataFrame:
+def seed_pages(pages: DataFrame, rules: Rules) -> DataFrame:
     """Stored pages that are start pages, with ``ord``, ``listing_category`` and ``route``.
 
-    Start URLs are configuration, so they become literals: no join.
+    Start URLs are configuration: they are pushed into the scan as an ``IN`` filter,
+    and the join that adds their category broadcasts just them.
     """
-
-    def start(r: SiteRules) -> Column | None:
-        points = [(u, c, route_of(r, u)) for u, c in r.entry_points]
-        points += [(r.sitemap_url, "", "sitemap")] if r.sitemap_url else []
-        out = None
-        for n, (url, cat, route) in enumerate(points):
-            made = F.struct(
-                F.lit(n).alias("ord"), F.lit(cat).alias("listing_category"), F.lit(route).alias("route")
-            )
-            hit = F.col("url") == url
-            out = F.when(hit, made) if out is None else out.when(hit, made)
-        return out
-
+    starts = seed(pages.sparkSession, rules)
     urls = [u for r in rules.values() for u, _ in r.entry_points] + [r.sitemap_url for r in rules.values() if r.sitemap_url]
-    hits = pages.filter(F.col("url").isin(urls)).withColumn("_start", by_site(site, rules, start))
-    return hits.filter(F.col("_start").isNotNull()).select(*pages.columns, "_start.*")
+    if len(urls) <= MAX_LITERAL_SEEDS:
+        pages, starts = pages.filter(F.col("url").isin(urls)), F.broadcast(starts)
+    return pages.join(starts, ["site", "url"])
 
 
 def seed_by_table(pages: DataFrame, entry_points: DataFrame, archive_mark: str | None = None) -> DataFrame:
