@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from folioflow.functions.normalize import first_non_empty, item_hash, item_key, non_empty
 from folioflow.functions.urls import url_to_slug
-from folioflow.session import cut_lineage
 from folioflow.operators.ordering import BUCKET, HOT_ROWS, add_bucket, lookup, order_cuts, rank_rows, running_sum
+from folioflow.session import cut_lineage
 
 # An item without one of these is incomplete (but kept).
 REQUIRED_FIELDS = ("title", "body", "source_url")
@@ -53,7 +53,8 @@ def detect_changes(
     updated. Items without a key are always new. ``order`` must be a total order of
     the versions of one key.
 
-    One shuffle of the items, on (brand, key, bucket).
+    One shuffle of the items, on (brand, key, bucket). The keys of a big input are
+    counted first, so ``items`` should be a stored table then, not a page parse.
     """
     keys = [brand, key]
     has_key = F.coalesce(F.col(key), F.lit("")) != ""

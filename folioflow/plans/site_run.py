@@ -13,14 +13,13 @@ column pruning keeps bodies out of steps 2 and 3.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions.normalize import item_hash, normalize_date
 from folioflow.operators.discovery import (
     dedup_links,
+    discovery_report,
     expand_pages,
     explode_links,
     extract_links,
@@ -29,7 +28,14 @@ from folioflow.operators.discovery import (
     follow_next,
     seed_pages,
 )
-from folioflow.operators.extraction import article_fields, dom_select, extract_jsonld, flag_captcha, listing_fields, merge_fields
+from folioflow.operators.extraction import (
+    article_fields,
+    dom_select,
+    extract_jsonld,
+    flag_captcha,
+    listing_fields,
+    merge_fields,
+)
 from folioflow.operators.items import assemble_items
 from folioflow.operators.quality import assign_file_names, detect_changes, drop_unchanged, latest_state
 from folioflow.rules import Rules, by_site
@@ -67,10 +73,12 @@ def stage_pages(pages: DataFrame, rules: Rules, path: str, skip_captcha: bool =
     known = flag_captcha(pages.filter(F.col("site").isin(list(rules))), skip=skip_captcha)
     parsed = merge_fields(extract_jsonld(dom_select(spread_small(known), fields), rules).drop("html"))
     have = parsed.schema["dom"].dataType.names
-    flat = [
-        (F.col(f"dom.{n}") if n in have else F.lit(None).cast(t)).alias(n) for n, t in _LISTING.items()
-    ]
-    staged = parsed.select("*", *flat).withColumn("_content_hash", item_hash("merged.body"))
+    flat = [(F.col(f"dom.{n}") if n in have else F.lit(None).cast(t)).alias(n) for n, t in _LISTING.items()]
+    # Merged fields are stored once; of the DOM only what has no merged counterpart.
+    rest = [F.col(f"dom.{n}").alias(n) for n in ("tags", "images") if n in have]
+    dom = F.struct(*rest) if rest else F.struct(F.lit(None).cast("array<string>").alias("tags"))
+    kept = [c for c in parsed.columns if c not in ("dom", "jsonld")]
+    staged = parsed.select(*kept, dom.alias("dom"), *flat).withColumn("_content_hash", item_hash("merged.body"))
     return _stored(staged.withColumn("_row", F.monotonically_increasing_id()), path)
 
 
@@ -132,7 +140,8 @@ def decide(staged: DataFrame, links: DataFrame | None, rules: Rules, store: RunS
     if links is None:
         slim = filter_urls(slim, rules)
     else:
-        slim = slim.join(first_seen(dedup_links(links, rules)).select("site", "url", "listing_category"), ["site", "url"])
+        # Whatever the site's own scope is, a URL is taken up once per run.
+        slim = slim.join(first_seen(links).select("site", "url", "listing_category"), ["site", "url"])
     slim = slim.withColumns(
         {
             "_key": F.col("url"),
@@ -201,7 +210,14 @@ def run_batch(
         store.compact(batch)
 
 
-def run_sites(pages: DataFrame, rules: Rules, root: str, batch: int = 0, **options) -> Iterable[str]:
+def dry_run(pages: DataFrame, rules: Rules, root: str, batch: int = 0) -> DataFrame:
+    """What a run would take up: URLs per listing, in the scope each site counts them. No items."""
+    store = RunStore(pages.sparkSession, root)
+    staged = stage_pages(pages, rules, store.staged(batch))
+    return discovery_report(dedup_links(discover(staged, pages, rules), rules))
+
+
+def run_sites(pages: DataFrame, rules: Rules, root: str, batch: int = 0, **options) -> str:
     """Run all sites of ``rules`` and give the folder of the written items."""
     store = RunStore(pages.sparkSession, root)
     run_batch(pages, rules, store, batch, **options)

@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from folioflow import schemas
+from folioflow import job, schemas
 from folioflow.plans.site_run import RunStore, run_batch, run_sites
 from folioflow.rules import default_rules
 from folioflow.sources.items import read_items
@@ -125,6 +125,18 @@ def test_item_fields(run):
           file_name="ti_article_20240601_course.json")
 
 
+def test_job_and_dry_run(spark, tmp_path, capsys):
+    wanted = [(u, h) for u, h in site_pages() if u.startswith((IASA, CLM))]
+    frame(spark, wanted).drop("site").write.parquet(str(tmp_path / "pages"))
+    common = ["--pages", str(tmp_path / "pages"), "--root", str(tmp_path / "lib"), "--sites", "iasa,clm"]
+    job.main(["discover", *common])
+    shown = capsys.readouterr().out
+    assert "Editions/1" in shown and "News.aspx" in shown
+    job.main(["run", *common, "--batch", "3"])
+    path = capsys.readouterr().out.strip().splitlines()[-1]
+    assert {r.brand for r in read_items(spark, path, multi_line=False).collect()} == {"iasa", "clm"}
+
+
 def test_next_run_only_writes_what_changed(spark, run):
     root, rules = run[0], default_rules()
     changed = [(u, article_itl("Two", "New text") if u.endswith("/two") else h) for u, h in site_pages()]
