@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from folioflow.functions.urls import query_param, query_param_slot, resolve_url
 from folioflow.operators.extraction import dom_select, listing_fields
 from folioflow.rules import Rules, SiteRules, allowed_by_rules, by_site
-from folioflow.session import cut_lineage
+from folioflow.session import broadcast_if_small, cut_lineage
 
 PAGE_CHUNK = 10_000
 MAX_LITERAL_SEEDS = 5000
@@ -97,16 +97,15 @@ def filter_urls_by_table(links: DataFrame, url_rules: DataFrame, url: str = "url
     """URL filter with rules given as a table (site, kind, pattern).
 
     Patterns are gathered per site (rules are configuration: tens per site) and
-    looked up by an equi-join, so AQE broadcasts the rule side when it is small and
-    shuffles by site with skew handling when it is not. Sites without include rules
-    keep everything that is not excluded.
+    looked up by an equi-join: broadcast when the table has been counted to be small,
+    else left to AQE. Sites without include rules keep everything not excluded.
     """
 
     def patterns(kind: str) -> Column:
         return F.collect_set(F.when(F.col("kind") == kind, F.col("pattern"))).alias(f"_{kind}")
 
     per_site = url_rules.groupBy("site").agg(patterns("include"), patterns("exclude"))
-    joined = links.join(per_site, "site", "left")
+    joined = links.join(broadcast_if_small(per_site), "site", "left")
 
     def found(kind: str) -> Column:
         return F.exists(F.coalesce(f"_{kind}", F.array().cast("array<string>")), lambda p: F.rlike(F.col(url), p))

@@ -195,7 +195,7 @@ def _skip_taken(ranked: DataFrame, taken: DataFrame, hot_rows: int) -> DataFrame
     free_below = rank_rows(taken, ["_base"], ["_number"], "_pos", hot_rows).withColumn(
         "_at", F.col("_number") - (F.col("_pos") - 1)
     )
-    runs = free_below.groupBy("_base", "_at").agg(F.count(F.lit(1)).alias("_push"))
+    runs = cut_lineage(free_below.groupBy("_base", "_at").agg(F.count(F.lit(1)).alias("_push")))
     cols = [c for c in ranked.columns if c not in ("_base", "_number")]
     marks = ranked.select(
         "_base",

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioflow.session import broadcast_if_small
+
 # Names of the content-library schema and of the content model.
 LIBRARY_NAMES = {
     "title": "library_title",
@@ -137,6 +139,6 @@ def vocabulary_report(items: DataFrame, vocabulary: DataFrame, terms: str = "cat
     used = items.select(F.explode(F.transform(terms, lambda t: F.lower(F.trim(t)))).alias("term"))
     counted = used.groupBy("term").agg(F.count(F.lit(1)).alias("uses"))
     known = vocabulary.select("term").distinct().withColumn("_known", F.lit(True))
-    return counted.join(known, "term", "left").select(
+    return counted.join(broadcast_if_small(known), "term", "left").select(
         "term", "uses", F.coalesce("_known", F.lit(False)).alias("in_vocabulary")
     )

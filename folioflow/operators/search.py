@@ -22,6 +22,7 @@ from folioflow.session import spread_small
 MAX_QUERIES = 1000
 MAX_TERMS = 20_000
 SCORE_DIGITS = 6
+SLICE = 512
 _RESULT = "query_id bigint, doc_id bigint, score double"
 
 
@@ -104,9 +105,7 @@ def search_vector(
         def score(batches, shared=shared):
             names, matrix = shared.value
             best = _Best(len(names), k)
-            for batch in batches:
-                if batch.num_rows == 0:
-                    continue
+            for batch in _slices(batches):
                 flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
                 unit = _unit(flat.reshape(batch.num_rows, -1))
                 best.add(np.round(matrix @ unit.T, SCORE_DIGITS), batch.column(0).to_numpy())
@@ -116,6 +115,13 @@ def search_vector(
     return _top_k(_union(found, spark), k)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``SLICE`` rows, whatever the session's Arrow batch size is."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE):
+            yield batch.slice(start, SLICE)
+
+
 def _unit(rows: np.ndarray) -> np.ndarray:
     norms = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
     return rows / np.where(norms == 0, 1.0, norms)
@@ -185,10 +191,8 @@ def _text_scorer(shared, k: int):
     def score(batches):
         names, terms, weights = shared.value
         vocabulary, best = pa.array(terms, pa.string()), _Best(len(names), k)
-        for batch in batches:
+        for batch in _slices(batches):
             n, words = batch.num_rows, batch.column(1)
-            if n == 0:
-                continue
             place = pc.index_in(words.flatten(), value_set=vocabulary)
             rows = pc.list_parent_indices(words).to_numpy()
             known = place.is_valid().to_numpy(zero_copy_only=False)

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job of this library wants; a cluster may override any of them.
 DEFAULTS = {
@@ -68,6 +69,14 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """Broadcast hint for a configuration table, given only after its rows were counted.
+
+    A bigger one is joined without a hint, so AQE decides.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def spread_small(df: DataFrame) -> DataFrame:
     """Give every core some rows of a small input before a Python stage.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import time
 
 import pytest
@@ -106,3 +107,15 @@ def test_job_parses_once_and_skips_unknown_sites(spark):
     assert [tuple(r) for r in rows] == [("a", "A", ["x"]), ("b", "B", None)]
     plan = out.filter(F.col("dom.title").isNotNull()).select("dom.list")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_random_markup_never_fails():
+    rng = random.Random(11)
+    bits = ["<", ">", "</", "/>", "<a", "<p>", "</p>", "<td", "<script>", "</script>", "<!--", "-->", "<!x", "=", "'", '"', " ", "href", "&", ";",
+            "&#xD800;", "&#99999999;", "&amp", "é", "\x00", "<title>", "<svg/>", "<br/>", "<li>", "</ul>", "class=x", "text"]
+    selectors = [Selector(s) for s in ("a[href], p.x", "td > p", "li:nth-of-type(2)", "*")]
+    for _ in range(3000):
+        doc = Document("".join(rng.choice(bits) for _ in range(rng.randint(0, 40))))
+        clean_markup(doc.root).encode("utf-8")
+        for s in selectors:
+            text_of(doc.select(s))
