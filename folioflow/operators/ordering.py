@@ -20,7 +20,7 @@ from folioflow.session import estimated_bytes
 
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 1000
-CUTS = 256
+CUTS = 255  # one less than a power of two, for the binary search
 SAMPLE_PER_KEY = 4096
 MIN_ROW_BYTES = 32
 BUCKET = "_bucket"
@@ -77,13 +77,16 @@ def add_bucket(df: DataFrame, cuts: DataFrame | None, keys: Sequence[str], order
     if cuts is None:
         return df.withColumn("_hot", F.lit(False)).withColumn(BUCKET, F.lit(0).cast("long"))
     here = F.struct(*order)
-    bucket = F.size(F.filter("_cuts", lambda c: c < here)).cast("long")
-    return (
-        lookup(df, cuts, keys)
-        .withColumn("_hot", F.col("_cuts").isNotNull())
-        .withColumn(BUCKET, F.when(F.col("_hot"), bucket).otherwise(F.lit(0).cast("long")))
-        .drop("_cuts")
-    )
+    rows = lookup(df, cuts, keys).withColumn("_hot", F.col("_cuts").isNotNull())
+    rows = rows.withColumn(BUCKET, F.lit(0))
+    # Binary search for the number of cuts below this row: one projection per halving,
+    # all inside generated code. Past the last cut there is null, which counts as above.
+    step = (CUTS + 1) // 2
+    while step:
+        below = F.get("_cuts", F.col(BUCKET) + (step - 1)) < here
+        rows = rows.withColumn(BUCKET, F.col(BUCKET) + F.when(below, F.lit(step)).otherwise(F.lit(0)))
+        step //= 2
+    return rows.withColumn(BUCKET, F.col(BUCKET).cast("long")).drop("_cuts")
 
 
 def running_sum(
