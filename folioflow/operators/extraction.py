@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +20,7 @@ from folioflow.functions import dom as html_dom
 from folioflow.functions import jsonld
 from folioflow.functions.normalize import is_captcha, non_empty, non_empty_array, strip
 from folioflow.rules import Rules, by_site
+from folioflow.session import ship_package
 
 TEXT, ATTR, HTML, LIST, ATTRS, IMAGES, LINKS = "text", "attr", "html", "list", "attrs", "images", "links"
 _RESULT_TYPE = {
@@ -92,6 +93,7 @@ def dom_select(
     ``fields`` maps a site to its output fields. Pages of sites without fields get
     a null struct and are never handed to Python.
     """
+    ship_package(pages.sparkSession)
     modes: dict[str, str] = {}
     for takes in fields.values():
         for name, take in takes.items():
@@ -121,6 +123,7 @@ def dom_select(
 
 def clean_body(html: Column | str) -> Column:
     """Cleaned whole document of an HTML fragment column."""
+    ship_package(SparkSession.active())
 
     def run(fragments: pa.Array) -> pa.Array:
         return pa.array(

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioflow.session import spread_small
+from folioflow.session import ship_package, spread_small
 
 MAX_QUERIES = 1000
 MAX_TERMS = 20_000
@@ -93,6 +93,7 @@ def search_vector(
 ) -> DataFrame:
     """Exact k nearest vectors per query by cosine similarity."""
     spark = vectors.sparkSession
+    ship_package(spark)
     table = spread_small(vectors.select(F.col(id_col).cast("bigint"), F.col(vector_col).cast("array<double>")))
     found = []
     for chunk in _chunks(queries, query_id):
@@ -150,6 +151,7 @@ def search_text(
     are no hits.
     """
     spark = docs.sparkSession
+    ship_package(spark)
     total = docs.count()
     table = spread_small(docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")))
     table = table.select("id", tokens("text").alias("words"))

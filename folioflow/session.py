@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,8 @@ DEFAULTS = {
 # Below this many bytes per core an input is too small to keep all cores busy.
 SMALL_SPLIT_BYTES = 16 * 1024 * 1024
 
+_SHIPPED: set[str] = set()
+
 
 def build_session(app: str = "folioflow", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -31,6 +35,23 @@ def build_session(app: str = "folioflow", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    The Python stages import it there, wherever the driver was started from.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = pathlib.Path(__file__).resolve().parent
+    archive = pathlib.Path(tempfile.mkdtemp(prefix="folioflow-code-")) / "folioflow-src.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, source.relative_to(root.parent))
+    sc.addPyFile(str(archive))  # Spark serves the file to the executors
+    _SHIPPED.add(sc.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for written-out intermediate tables of this application.
 
