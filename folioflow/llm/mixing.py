@@ -99,8 +99,8 @@ def round_units(units: DataFrame, counts: DataFrame, seed: int = 0, bucket: int
         n_buckets = F.ceil(F.col("n") / bucket)
         spot = F.pmod(F.xxhash64(F.lit(seed), F.lit(level), "k1", "k2"), n_buckets)
         grouped = now.groupBy("source", "n", spot.alias("spot")).agg(
-            # Neighbours in size pair up, so that little mass has to travel.
-            F.expr("transform(sort_array(collect_list(struct(w, k1, k2, f))), x -> struct(x.k1, x.k2, x.w, x.f))").alias("units")
+            # Large documents first: small ones then round them off, and a small one is left over.
+            F.expr("transform(sort_array(collect_list(struct(w, k1, k2, f)), false), x -> struct(x.k1, x.k2, x.w, x.f))").alias("units")
         )
         grouped = grouped.withColumn("units", F.col("units").cast(f"array<{UNIT}>"))
         rounded = cut_lineage(grouped.select("source", "n", _round_bucket(seed + level).alias("r")))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import partial
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.llm import mixing, rulelist, secrets, simhash, urls
@@ -22,11 +24,17 @@ def op1_mix_sources(spark: SparkSession, d: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def _of_kind(kind: int, span: Column) -> Column:
+    return span["kind"] == kind
+
+
 def op4_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     found = secrets.scan_secrets(read_table(spark, d, "documents").select("doc_id", "text")).drop("text")
     spans = F.col("secret_spans")
     base = F.filter(spans, lambda s: s["kind"] < 3)
-    counts = [F.size(F.filter(spans, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(secrets.KINDS)]
+    counts = [
+        F.size(F.filter(spans, partial(_of_kind, k))).cast("long").alias(f"n_{name}") for k, name in enumerate(secrets.KINDS)
+    ]
     return found.select(
         "doc_id", *counts, F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(spans).alias("spans")
     )
