@@ -7,7 +7,8 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import mixing, rulelist, secrets, simhash, urls
+from folioflow.llm import embeddings, lm, mixing, packing, quality, rulelist, secrets, simhash, urls
+from folioflow.llm.common import crc_fold
 from folioflow.sources.pages import read_table
 
 URL_RULES = (
@@ -24,6 +25,21 @@ def op1_mix_sources(spark: SparkSession, d: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op2_pack_sequences(spark: SparkSession, d: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = packing.pack(read_table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op3_quality_model(spark: SparkSession, d: str) -> DataFrame:
+    docs, labels = (read_table(spark, d, t) for t in ("documents", "labels"))
+    scored = quality.score_quality(docs.select("doc_id", "text"), labels)
+    return scored.select(
+        "doc_id", (crc_fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def _of_kind(kind: int, span: Column) -> Column:
     return span["kind"] == kind
 
@@ -52,10 +68,33 @@ def op7_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return judged.select("doc_id", *rulelist.STATS, "base_failed", "kept")
 
 
+def op8_lm_score(spark: SparkSession, d: str) -> DataFrame:
+    scored = lm.score_texts(read_table(spark, d, "documents").select("doc_id", "text"), crc_fold("doc_id", 7) != 2)
+    return scored.withColumn("held_out", crc_fold("doc_id", 7) == 2)
+
+
 def op9_url_filter(spark: SparkSession, d: str) -> DataFrame:
     judged = urls.judge_urls(read_table(spark, d, "pages").select("page_id", "url"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op4_secret_scan, op5_simhash, op7_quality_rules, op9_url_filter)}
+def op10_embedding_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return embeddings.near_vectors(read_table(spark, d, "embeddings"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_mix_sources,
+        op2_pack_sequences,
+        op3_quality_model,
+        op4_secret_scan,
+        op5_simhash,
+        op7_quality_rules,
+        op8_lm_score,
+        op9_url_filter,
+        op10_embedding_dedup,
+    )
+}
+# Trained models, random rounding and byte work cannot be put into SQL; tests/llm has brute-force versions.
 SQL: dict[str, str] = {}
