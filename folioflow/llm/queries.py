@@ -7,7 +7,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import embeddings, lm, mixing, packing, quality, rulelist, secrets, simhash, urls
+from folioflow.llm import embeddings, lm, mixing, packing, quality, rulelist, secrets, simhash, suffixes, urls
 from folioflow.llm.common import crc_fold
 from folioflow.sources.pages import read_table
 
@@ -62,6 +62,18 @@ def op5_simhash(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", hexed.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op6_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
+    cut = suffixes.remove_repeats(read_table(spark, d, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     docs, labels = (read_table(spark, d, t) for t in ("documents", "labels"))
     judged = rulelist.judge_quality(docs.select("doc_id", "text"), labels)
@@ -90,6 +102,7 @@ QUERIES = {
         op3_quality_model,
         op4_secret_scan,
         op5_simhash,
+        op6_suffix_dedup,
         op7_quality_rules,
         op8_lm_score,
         op9_url_filter,
