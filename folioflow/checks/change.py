@@ -178,7 +178,7 @@ def doc_items(spark: SparkSession, d: str) -> DataFrame:
     no_url = F.col("quality").isNull() & (F.col("lang") == "de")
     return docs.select(
         "doc_id",
-        F.when(~no_title, F.substring("text", 1, 40)).otherwise(F.when(F.col("lang") == "fr", F.lit(""))).alias("title"),
+        F.when(~no_title, F.substring_index("text", "\n", 1)).otherwise(F.when(F.col("lang") == "fr", F.lit(""))).alias("title"),
         F.when(F.coalesce("quality", F.lit(1)) != 0, F.col("text")).alias("body"),
         F.when(~no_url, text("=/doc/", "doc_id")).alias("source_url"),
         F.when(~no_url | (F.col("doc_id") % 2 == 0), text("=/doc/", "doc_id")).alias("canonical_url"),

@@ -98,14 +98,14 @@ def q_first_seen(spark: SparkSession, d: str) -> DataFrame:
 @check(
     f"""
     WITH {_NAV_SQL}
-    SELECT site, url, count(*) AS n FROM (
-        SELECT DISTINCT site, url, CASE WHEN site = 'com' THEN '' ELSE from_url END, CASE WHEN site = 'org' THEN pos ELSE -1 END FROM nav)
-    GROUP BY site, url
+    SELECT site, url, arg_min(from_url, (from_url, pos)) AS from_url, min(pos) AS pos, arg_min(listing_category, (from_url, pos)) AS listing_category
+    FROM (SELECT *, CASE WHEN site = 'com' THEN '' ELSE from_url END AS page, CASE WHEN site = 'org' THEN pos ELSE -1 END AS place FROM nav)
+    GROUP BY site, url, page, place
     """
 )
 def q_dedup_scope(spark: SparkSession, d: str) -> DataFrame:
     once = dedup_links(_nav_links(spark, d).drop("page_id"), _DOMAINS)
-    return once.groupBy("site", "url").agg(F.count(F.lit(1)).alias("n"))
+    return once.select("site", "url", "from_url", "pos", "listing_category")
 
 
 @check(
@@ -129,7 +129,8 @@ def q_discovery_report(spark: SparkSession, d: str) -> DataFrame:
 def q_seed(spark: SparkSession, d: str) -> DataFrame:
     pages = _domain_pages(spark, d)
     plain = pages.filter(~F.col("url").rlike("[?#]"))
-    entry = plain.select("site", "ord", "url", F.col("listing_category").alias("category")).dropDuplicates(["url"])
+    entry = plain.select("site", "ord", "url", F.col("listing_category").alias("category"))
+    entry = entry.groupBy("url").agg(F.min_by(F.struct("site", "ord", "category"), "ord").alias("e")).select("url", "e.*")
     seeds = seed_by_table(pages.select("page_id", "url"), entry, archive_mark="/fr/")
     return seeds.select("page_id", "url", "ord", "listing_category", "route")
 

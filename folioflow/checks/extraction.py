@@ -86,7 +86,8 @@ def q_clean_body(spark: SparkSession, d: str) -> DataFrame:
     r"""
     SELECT page_id, brand, title, source_url, canonical_url, category, categories, publisher, body_text, missing, _scraped_at FROM (
         SELECT page_id, regexp_extract(url, 'example\.([a-z]+)', 1) AS brand, title, url AS source_url, url AS canonical_url,
-               regexp_extract(url, '^[a-z]+://[^/]*/([a-z]+)', 1) AS category,
+               CASE WHEN contains(url, 'example.net') THEN regexp_extract(nav, '([^|]*)$', 1)
+                    ELSE regexp_extract(url, '^[a-z]+://[^/]*/([a-z]+)', 1) END AS category,
                CASE WHEN contains(url, 'example.net') THEN nav ELSE regexp_extract(url, '^[a-z]+://[^/]*/([a-z]+)', 1) END AS categories,
                CASE WHEN contains(url, 'example.org') THEN 'The Desk' ELSE '' END AS publisher,
                CASE WHEN contains(url, 'example.com') THEN '' ELSE body END AS body_text,
@@ -117,15 +118,13 @@ def q_items(spark: SparkSession, d: str) -> DataFrame:
         F.to_timestamp(text("=2024-05-0", F.col("page_id") % 9 + 1)).alias("fetched_at"),
     )
     items = assemble_items(extract_pages(spread_small(pages), rules), rules, keep=("page_id",))
-    # The last crumb wins as category in "net"; compare the listing category instead.
-    lang = F.regexp_extract("source_url", "^[a-z]+://[^/]*/([a-z]+)", 1)
     return items.select(
         "page_id",
         "brand",
         "title",
         "source_url",
         "canonical_url",
-        F.when(F.col("brand") == "net", lang).otherwise(F.col("category")).alias("category"),
+        "category",
         joined("categories").alias("categories"),
         F.coalesce("publisher", F.lit("")).alias("publisher"),
         F.coalesce(_folded(F.col("body")), F.lit("")).alias("body_text"),
@@ -262,7 +261,7 @@ def q_category_rule(spark: SparkSession, d: str) -> DataFrame:
 
 @check(
     """
-    SELECT doc_id, text[1:60] AS title, CASE WHEN lang = 'en' THEN source ELSE 'second' END AS author, '2024-01-0' || (1 + doc_id % 9) || 'T10:00:00-05:00' AS date_published,
+    SELECT doc_id, text AS title, CASE WHEN lang = 'en' THEN source ELSE 'second' END AS author, '2024-01-0' || (1 + doc_id % 9) || 'T10:00:00-05:00' AS date_published,
            lang || '|' || source AS categories, CASE WHEN lang = 'de' THEN NULL ELSE 'd' || n_chars END AS description
     FROM documents
     """
@@ -285,7 +284,7 @@ def q_jsonld(spark: SparkSession, d: str) -> DataFrame:
     first = _json(
         **{
             "@type": F.lit("Article"),
-            "headline": F.substring("text", 1, 60),
+            "headline": F.col("text"),
             "author": F.struct(F.when(F.col("lang") == "en", F.col("source")).alias("name"), F.lit("Person").alias("@type")),
             "datePublished": text("=2024-01-0", F.col("doc_id") % 9 + 1, "=T10:00:00-05:00"),
             "about": F.array("lang", "source"),

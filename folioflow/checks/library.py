@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.checks.change import doc_items
 from folioflow.checks.registry import check, joined, table, text
-from folioflow.operators.lake import fetch_items, list_items, mark_rejects, upsert_items
+from folioflow.operators.lake import fetch_items, list_items, mark_rejects, upsert_items, upsert_table
 from folioflow.operators.quality import annotate_missing
 from folioflow.operators.reports import (
     CATEGORY_WORDS,
@@ -20,6 +22,7 @@ from folioflow.operators.reports import (
     vocabulary_report,
     volume_check,
 )
+from folioflow.session import join_path, shared_dir
 from folioflow.operators.search import search_text, search_vector
 
 _MISSING = """
@@ -129,14 +132,14 @@ def q_vocab_report(spark: SparkSession, d: str) -> DataFrame:
 
 @check(
     """
-    SELECT doc_id, text[1:40] AS library_title, text AS library_body_html, source AS library_published, '/doc/' || doc_id AS source_url
+    SELECT doc_id, split_part(text, chr(10), 1) AS library_title, text AS library_body_html, source AS library_published, '/doc/' || doc_id AS source_url
     FROM documents
     """
 )
 def q_library(spark: SparkSession, d: str) -> DataFrame:
     items = table(spark, d, "documents").select(
         "doc_id",
-        F.substring("text", 1, 40).alias("title"),
+        F.substring_index("text", "\n", 1).alias("title"),
         F.col("text").alias("body"),
         F.col("source").alias("date_published"),
         text("=/doc/", "doc_id").alias("source_url"),
@@ -174,6 +177,41 @@ def q_upsert(spark: SparkSession, d: str) -> DataFrame:
     return upsert_items(lake, second, order=order).select("source_url", F.col("_action").alias("action"), "event_id")
 
 
+_TABLE_SQL = """
+    WITH d AS (SELECT doc_id, text, CASE WHEN doc_id % 3 > 0 THEN '/doc/' || doc_id // 2 END AS url,
+                      CASE WHEN doc_id % 5 > 0 THEN '/doc/' || doc_id // 2 ELSE '' END AS other FROM documents),
+    k AS (SELECT doc_id, text, coalesce(nullif(url, ''), other) AS key FROM d)
+"""
+
+
+@check(
+    f"""
+    {_TABLE_SQL}
+    SELECT key, max(doc_id) AS doc_id, arg_max(text, doc_id) AS body, 'unchanged' AS action FROM k WHERE key <> '' GROUP BY key
+    """
+)
+def q_upsert_table(spark: SparkSession, d: str) -> DataFrame:
+    """Documents enter a stored table in two batches, the second one twice; keyless ones never do."""
+    url = text("=/doc/", F.floor(F.col("doc_id") / 2))
+    rows = table(spark, d, "documents").select(
+        "doc_id",
+        F.col("text").alias("body"),
+        F.lit("b").alias("brand"),
+        F.when(F.col("doc_id") % 3 > 0, url).alias("source_url"),
+        F.when(F.col("doc_id") % 5 > 0, url).otherwise("").alias("canonical_url"),
+        F.sha2(F.concat_ws("|", "doc_id", "text"), 256).alias("_content_hash"),
+    )
+    path = join_path(shared_dir(spark), f"upsert-{uuid.uuid4().hex}")
+    half = F.col("doc_id") % 2 == 0
+    upsert_table(spark, path, rows.filter(half), buckets=16, order=("doc_id",))
+    for _ in range(2):
+        actions = upsert_table(spark, path, rows, buckets=16, order=("doc_id",))
+    stored = spark.read.parquet(path)
+    return stored.join(actions, ["brand", "_key"]).select(
+        F.col("_key").alias("key"), "doc_id", "body", F.col("_action").alias("action")
+    )
+
+
 @check(
     f"""
     WITH {_MISSING}
@@ -203,13 +241,13 @@ def q_list(spark: SparkSession, d: str) -> DataFrame:
 
 @check(
     """
-    SELECT doc_id, text[1:40] AS title FROM documents WHERE doc_id IN (SELECT user_id FROM events WHERE value > 20)
+    SELECT doc_id, text FROM documents WHERE doc_id IN (SELECT user_id FROM events WHERE value > 20)
     """
 )
 def q_fetch(spark: SparkSession, d: str) -> DataFrame:
     lake = table(spark, d, "documents").withColumn("source_url", text("=/doc/", "doc_id"))
     ids = table(spark, d, "events").filter("value > 20").select(text("=/doc/", "user_id").alias("id"))
-    return fetch_items(lake, ids).select("doc_id", F.substring("text", 1, 40).alias("title"))
+    return fetch_items(lake, ids).select("doc_id", "text")
 
 
 @check(
@@ -218,23 +256,25 @@ def q_fetch(spark: SparkSession, d: str) -> DataFrame:
     tf AS (SELECT doc_id, term, count(*) AS tf FROM w GROUP BY doc_id, term),
     df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
     q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM benchmark),
-    s AS (SELECT item_id, doc_id, round(sum((1 + ln(tf)) * ln((SELECT count(*) FROM documents) / df)), 6) AS score
+    s AS (SELECT item_id, doc_id, sum((1 + ln(tf)) * ln((SELECT count(*) FROM documents) / df)) AS score
           FROM q JOIN tf USING (term) JOIN df USING (term) GROUP BY item_id, doc_id),
     r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
-    SELECT item_id AS query_id, doc_id, round(score, 4) AS score, rank FROM r WHERE rank <= 10
+    SELECT item_id AS query_id, md5(text) AS text_md5, round(score, 4) AS score, rank FROM r JOIN documents USING (doc_id) WHERE rank <= 10
     """
 )
 def q_search_text(spark: SparkSession, d: str) -> DataFrame:
     queries = table(spark, d, "benchmark").withColumnRenamed("item_id", "query_id")
     hits = search_text(table(spark, d, "documents"), queries, k=10)
-    return hits.select("query_id", "doc_id", F.round("score", 4).alias("score"), "rank")
+    # Copies of a text have one score, up to the order in which it was summed: they are told by their text.
+    texts = table(spark, d, "documents").select("doc_id", F.md5("text").alias("text_md5"))
+    return hits.join(texts, "doc_id").select("query_id", "text_md5", F.round("score", 4).alias("score"), "rank")
 
 
 @check(
     """
     WITH p AS (SELECT label, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i FROM embeddings),
     c AS (SELECT label, list(m ORDER BY i) AS center FROM (SELECT label, i, avg(x) AS m FROM p GROUP BY label, i) GROUP BY label),
-    s AS (SELECT c.label AS query_id, vec_id, round(list_cosine_similarity(center, embedding::DOUBLE[]), 6) AS score FROM c, embeddings)
+    s AS (SELECT c.label AS query_id, vec_id, list_cosine_similarity(center, embedding::DOUBLE[]) AS score FROM c, embeddings)
     SELECT query_id, vec_id, round(score, 4) AS score, rank FROM (
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
     """

@@ -25,14 +25,14 @@ def q_pages(spark: SparkSession, d: str) -> DataFrame:
     SELECT page_id, url, CASE WHEN s = '' THEN 'index' ELSE s[1:80] END AS slug FROM s
     UNION ALL
     SELECT doc_id, NULL, CASE WHEN s = '' THEN 'index' ELSE s[1:80] END FROM (
-        SELECT doc_id, lower(trim(regexp_replace(text[1:200], '[^a-zA-Z0-9]+', '-', 'g'), '-')) AS s
+        SELECT doc_id, lower(trim(regexp_replace(text, '[^a-zA-Z0-9]+', '-', 'g'), '-')) AS s
         FROM (SELECT doc_id, replace(replace(replace(replace(text, '/', ' '), '?', ' '), '#', ' '), ';', ' ') AS text FROM documents))
     """
 )
 def q_slug(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "pages").select("page_id", "url", url_to_slug("url").alias("slug"))
-    # Headlines as last path segment: long and full of other characters.
-    headline = F.substring(F.translate("text", "/?#;", "    "), 1, 200)
+    # Whole texts as last path segment: long and full of other characters.
+    headline = F.translate("text", "/?#;", "    ")
     docs = table(spark, d, "documents").select(
         F.col("doc_id").alias("page_id"),
         F.lit(None).cast("string").alias("url"),

@@ -10,15 +10,10 @@ from __future__ import annotations
 import re
 from html import escape, unescape
 from itertools import islice
-from urllib.parse import urljoin
 
 # Elements that never belong to an article body.
 STRIP_TAGS = frozenset({"script", "style", "nav", "header", "footer", "aside", "iframe", "noscript"})
 
-# Elements nested deeper than this become siblings at that depth, so that hostile
-# markup costs linear time; no text is lost.
-MAX_DEPTH = 512
-
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title".split())
 _SILENT = frozenset("script style template".split())
@@ -54,11 +49,10 @@ _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in _RAW}
 
 
 class Node:
-    __slots__ = ("tag", "raw", "parent", "kids", "order", "depth", "_attrs")
+    __slots__ = ("tag", "raw", "parent", "kids", "order", "_attrs")
 
     def __init__(self, tag: str, raw: str, parent: "Node | None", order: int):
         self.tag, self.raw, self.parent, self.order = tag, raw, parent, order
-        self.depth = parent.depth + 1 if parent is not None else 0
         self.kids: list = []
         self._attrs: dict | None = None
 
@@ -142,7 +136,7 @@ class Document:
                     node.kids.append(unescape(inner) if tag in ("title", "textarea") else inner)
                 pos = html.find(">", upto) + 1 or len(html)
                 end = max(end, pos)
-            elif tag not in _VOID and node.depth < MAX_DEPTH:
+            elif tag not in _VOID:
                 top = node
                 opened[tag] = opened.get(tag, 0) + 1
 
@@ -324,35 +318,22 @@ def _quoted(value: str) -> str:
     return f"'{value}'" if "'" not in value else '"' + value.replace('"', "&quot;") + '"'
 
 
-def images_of(container: Node, base_url: str, lazy_load: bool) -> list[dict]:
-    found = []
-    for img in container.walk():
-        if img.tag != "img":
-            continue
-        src = img.attrs.get("src", "") or (img.attrs.get("data-src", "") if lazy_load else "")
-        if not src:
-            continue
-        figure = img.parent if img is not container else None
-        while figure is not None and figure.tag != "figure" and figure is not container:
-            figure = figure.parent
-        caption = None
-        if figure is not None and figure.tag == "figure":
-            caption = next((n for n in figure.walk() if n.tag == "figcaption"), None)
-        found.append(
-            {
-                "url": _join(base_url, src),
-                "alt": img.attrs.get("alt", "").strip(),
-                "caption": all_text(caption) if caption is not None else "",
-            }
-        )
-    return found
-
+def raw_images(container: Node) -> list[dict]:
+    """Attributes of the images below, each with the caption of the figure it stands in.
 
-def _join(base: str, href: str) -> str:
-    try:
-        return urljoin(base, href)
-    except ValueError:  # e.g. an unbalanced IPv6 bracket
-        return href
+    What becomes of them (lazy sources, URLs, blanks) is up to columns.
+    """
+    found: list[dict] = []
+    stack = [(container, "")]
+    while stack:
+        node, caption = stack.pop()
+        if node.tag == "figure":
+            note = next((n for n in node.walk() if n.tag == "figcaption"), None)
+            caption = "" if note is None else all_text(note)
+        elif node.tag == "img":
+            found.append({**{k: node.attrs.get(k) for k in ("src", "data-src", "alt")}, "caption": caption})
+        stack.extend((k, caption) for k in reversed(node.kids) if k.__class__ is Node)
+    return found
 
 
 def read_more_links(doc: Document) -> list[Node]:

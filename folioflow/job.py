@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import functions as F
+
 from folioflow.plans.site_run import dry_run, run_sites
 from folioflow.rules import default_rules
-from folioflow.session import build_session, drop_cuts
+from folioflow.session import build_session, drop_cuts, join_path
 from folioflow.sources.pages import read_pages, with_site
 
 
@@ -30,7 +32,10 @@ def main(args: list[str] | None = None) -> None:
     pages = read_pages(spark, given.pages)
     pages = pages if "site" in pages.columns else with_site(pages, rules)
     if given.action == "discover":
-        dry_run(pages, rules, given.root, given.batch).orderBy("site", "from_url").show(1000, truncate=False)
+        path = join_path(given.root, "discovered", f"batch={given.batch}")
+        dry_run(pages, rules, given.root, given.batch).write.mode("overwrite").parquet(path)
+        listings, urls = spark.read.parquet(path).agg(F.count("*"), F.coalesce(F.sum("n_links"), F.lit(0))).first()
+        print(f"{urls} URLs in {listings} listings, by listing in {path}")
     else:
         options = {"crawl_links": not given.all_pages, "skip_captcha": given.skip_captcha}
         print(run_sites(pages, rules, given.root, given.batch, **options))

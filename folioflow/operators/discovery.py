@@ -185,12 +185,15 @@ def two_hop(first: DataFrame, second: DataFrame) -> DataFrame:
 def follow_next(seeds: DataFrame, edges: DataFrame, max_steps: int | None = None) -> DataFrame:
     """Pages reached from the seeds over "next" links, with their seed's category.
 
-    ``seeds``: site, url, ord, listing_category. ``edges``: site, from_url, url, at
-    most one per page. Each round doubles the length of the jumps, so a chain of n
+    ``seeds``: site, url, ord, listing_category. ``edges``: site, from_url, url, and
+    ``fetched_at`` and ``pos`` if known: of several next links of a page the first one of
+    the latest fetch counts. Each round doubles the length of the jumps, so a chain of n
     pages takes log2(n) rounds. A page on several chains belongs to the nearest seed.
     """
     reached = cut_lineage(seeds.select("site", "url", "ord", "listing_category", F.lit(0).cast("long").alias("depth")))
-    jumps = edges.groupBy("site", "from_url").agg(F.min("url").alias("url")).withColumn("_len", F.lit(1).cast("long"))
+    newest = [-F.unix_micros(F.col("fetched_at").cast("timestamp"))] if "fetched_at" in edges.columns else []
+    first = F.struct(*newest, *(["pos"] if "pos" in edges.columns else []), "url")
+    jumps = edges.groupBy("site", "from_url").agg(F.min_by("url", first).alias("url")).withColumn("_len", F.lit(1).cast("long"))
     count = reached.count()
     while True:
         jumps = cut_lineage(jumps)

@@ -19,10 +19,12 @@ from folioflow import schemas
 from folioflow.functions import dom as html_dom
 from folioflow.functions import jsonld
 from folioflow.functions.normalize import is_captcha, non_empty, non_empty_array, strip
+from folioflow.functions.urls import resolve_url
 from folioflow.rules import Rules, by_site
 from folioflow.session import ship_package
 
 TEXT, ATTR, HTML, LIST, ATTRS, IMAGES, LINKS = "text", "attr", "html", "list", "attrs", "images", "links"
+RAW_IMAGE = T.StructType([T.StructField(n, T.StringType()) for n in ("src", "data-src", "alt", "caption")])
 _RESULT_TYPE = {
     TEXT: T.StringType(),
     ATTR: T.StringType(),
@@ -30,14 +32,12 @@ _RESULT_TYPE = {
     LIST: T.ArrayType(T.StringType()),
     ATTRS: T.ArrayType(T.StringType()),
     LINKS: T.ArrayType(T.StringType()),
-    IMAGES: T.ArrayType(schemas.IMAGE),
+    IMAGES: T.ArrayType(RAW_IMAGE),
 }
 _ARROW_TYPE = {
     T.StringType(): pa.string(),
     T.ArrayType(T.StringType()): pa.list_(pa.string()),
-    T.ArrayType(schemas.IMAGE): pa.list_(
-        pa.struct([("url", pa.string()), ("alt", pa.string()), ("caption", pa.string())])
-    ),
+    T.ArrayType(RAW_IMAGE): pa.list_(pa.struct([(f.name, pa.string()) for f in RAW_IMAGE.fields])),
 }
 
 
@@ -50,25 +50,23 @@ class Take:
 
 
 def _taker(take: Take):
-    """Function (document, page url) -> value, with the selector compiled once per task."""
+    """Function document -> value, with its selector compiled."""
     selector, name = html_dom.Selector(take.selector), take.name
     if take.mode == TEXT:
-        return lambda doc, url: html_dom.text_of(doc.select(selector))
+        return lambda doc: html_dom.text_of(doc.select(selector))
     if take.mode == ATTR:
-        return lambda doc, url: next(iter(html_dom.attr_values(doc.select(selector), name)), None)
+        return lambda doc: next(iter(html_dom.attr_values(doc.select(selector), name)), None)
     if take.mode == LIST:
-        return lambda doc, url: html_dom.own_texts(doc.select(selector))
+        return lambda doc: html_dom.own_texts(doc.select(selector))
     if take.mode == ATTRS:
-        return lambda doc, url: html_dom.attr_values(doc.select(selector), name)
+        return lambda doc: html_dom.attr_values(doc.select(selector), name)
     if take.mode == HTML:
-        return lambda doc, url: next((html_dom.clean_markup(n) for n in doc.select(selector)[:1]), None)
+        return lambda doc: next((html_dom.clean_markup(n) for n in doc.select(selector)[:1]), None)
     if take.mode == IMAGES:
-        return lambda doc, url: next(
-            (html_dom.images_of(n, take.base_url or url or "", take.lazy) for n in doc.select(selector)[:1]), []
-        )
+        return lambda doc: next((html_dom.raw_images(n) for n in doc.select(selector)[:1]), [])
     if take.mode == LINKS:
 
-        def links(doc, url):
+        def links(doc):
             named = {"read_more_or_css": html_dom.read_more_links, "headline": html_dom.headline_links}.get(name)
             nodes = named(doc) if named else []
             if not nodes and name != "headline":
@@ -103,22 +101,46 @@ def dom_select(
     arrow = {n: _ARROW_TYPE[_RESULT_TYPE[m]] for n, m in modes.items()}
     plan = {s: dict(takes) for s, takes in fields.items()}
 
-    def run(site_col: pa.Array, url_col: pa.Array, html_col: pa.Array) -> pa.Array:
-        compiled = {s: {n: _taker(t) for n, t in takes.items()} for s, takes in plan.items()}
+    compiled: dict[str, dict] = {}  # filled once per task
+
+    def run(site_col: pa.Array, html_col: pa.Array) -> pa.Array:
+        if not compiled:
+            compiled.update({s: {n: _taker(t) for n, t in takes.items()} for s, takes in plan.items()})
         columns: dict[str, list] = {n: [] for n in arrow}
-        for s, u, h in zip(site_col.to_pylist(), url_col.to_pylist(), html_col.to_pylist()):
+        for s, h in zip(site_col.to_pylist(), html_col.to_pylist()):
             takers = compiled.get(s) if h is not None else None
             doc = html_dom.Document(h) if takers else None
             for n, values in columns.items():
                 take = takers.get(n) if takers else None
-                values.append(take(doc, u) if take else None)
+                values.append(take(doc) if take else None)
         return pa.StructArray.from_arrays([pa.array(v, arrow[n]) for n, v in columns.items()], names=list(arrow))
 
     # Non-deterministic only for the planner: the parse must not be repeated when a
     # filter or a second projection refers to its result.
     job = F.arrow_udf(run, struct).asNondeterministic()
     known = F.when(F.col(site).isin(*plan), F.col(html))
-    return pages.withColumn(into, job(F.col(site), F.col(url), known))
+    out = pages.withColumn(into, job(F.col(site), known))
+    for name in (n for n, mode in modes.items() if mode == IMAGES):
+        images = None
+        for s, takes in plan.items():
+            if take := takes.get(name):
+                made = images_from(F.col(into)[name], F.lit(take.base_url) if take.base_url else F.col(url), take.lazy)
+                images = F.when(F.col(site) == s, made) if images is None else images.when(F.col(site) == s, made)
+        out = out.withColumn(into, F.when(F.col(into).isNotNull(), F.col(into).withField(name, images)))
+    return out
+
+
+def images_from(raw: Column, base: Column, lazy: bool) -> Column:
+    """Images (url, alt, caption) of raw image attributes; those without a source are left out."""
+    source = lambda i: F.coalesce(non_empty(i["src"]), non_empty(i["data-src"]) if lazy else F.lit(None), F.lit(""))
+    return F.transform(
+        F.filter(raw, lambda i: source(i) != ""),
+        lambda i: F.struct(
+            resolve_url(F.coalesce(base, F.lit("")), source(i)).alias("url"),
+            strip(F.coalesce(i["alt"], F.lit(""))).alias("alt"),
+            i["caption"].alias("caption"),
+        ),
+    )
 
 
 def clean_body(html: Column | str) -> Column:
@@ -190,6 +212,8 @@ def flag_captcha(pages: DataFrame, html: str = "html", skip: bool = False) -> Da
 
 def extract_jsonld(pages: DataFrame, rules: Rules, *, site: str = "site", html: str = "html") -> DataFrame:
     """Add struct ``jsonld`` with the mapped fields of each page's site."""
+    # An object may name a key twice: the last value counts, as in any JSON reader.
+    pages.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     names = list(dict.fromkeys(f for r in rules.values() for f in r.jsonld_fields))
     if not names:
         return pages.withColumn("jsonld", F.lit(None).cast("struct<title:string>"))

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions.normalize import item_key, publish_date
+from folioflow.session import cut_lineage
 
 INSERTED, UPDATED, UNCHANGED, KEPT = "inserted", "updated", "unchanged", "kept"
 
@@ -17,33 +19,89 @@ def upsert_items(
     lake: DataFrame,
     items: DataFrame,
     *,
-    keys: Sequence[str] = ("brand", "source_url"),
+    keys: Sequence[str] | None = None,
     hash_col: str = "_content_hash",
     order: Sequence[str] = ("_scraped_at", "_content_hash"),
 ) -> DataFrame:
     """The lake after the items came in, with ``_action`` per row.
 
-    One row per key. An item with the hash already stored changes nothing, so the
-    same batch can come twice. Several versions of a key in one batch are reduced to
-    the last one by an aggregate that combines map-side; both join sides are then
-    unique per key, so no key can blow up the join.
+    One row per brand and item key (``source_url``, or ``canonical_url`` where that is
+    missing), or per ``keys``. Items without a key do not enter: ``split_rejects`` names
+    them. An item with the hash already stored changes nothing, so the same batch can
+    come twice. What happens is decided on keys and hashes; bodies of the lake only meet
+    the keys of the batch. ``order`` tells the versions of a key in one batch apart.
     """
-    keys = list(keys)
-    rest = [c for c in lake.columns if c not in keys]
-    last = items.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_new"))
-    old = lake.select(*keys, F.struct(*rest).alias("_old"))
-    both = old.join(last, keys, "full")
-    has_old, has_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
-    same = F.col(f"_old.{hash_col}") == F.col(f"_new.{hash_col}")
+    keyed, last = _last_versions(items, keys, order)
+    stored = _with_key(lake, keys)
+    actions = cut_lineage(_actions(stored.select(*keyed, hash_col), last.select(*keyed, hash_col), keyed, hash_col))
+    old = stored.join(actions, keyed, "left").filter(F.coalesce("_action", F.lit(KEPT)) != UPDATED)
+    old = old.select(*lake.columns, F.coalesce("_action", F.lit(KEPT)).alias("_action"))
+    new = last.join(actions.filter(F.col("_action").isin(INSERTED, UPDATED)), keyed)
+    return old.unionByName(new.select(*lake.columns, "_action"))
+
+
+def _with_key(rows: DataFrame, keys: Sequence[str] | None) -> DataFrame:
+    if keys:
+        return rows
+    other = "canonical_url" if "canonical_url" in rows.columns else F.lit(None).cast("string")
+    return rows.withColumn("_key", item_key("source_url", other))
+
+
+def _last_versions(items: DataFrame, keys: Sequence[str] | None, order: Sequence[str]) -> tuple[list[str], DataFrame]:
+    """Key columns, and the last version of each key of a batch."""
+    keyed = list(keys or ("brand", "_key"))
+    rows = _with_key(items, keys)
+    for k in keyed[-1:] if not keys else keyed:
+        rows = rows.filter(F.coalesce(F.col(k).cast("string"), F.lit("")) != "")
+    rows = rows.withColumn("brand", F.coalesce("brand", F.lit("unknown"))) if not keys else rows
+    rest = [c for c in rows.columns if c not in keyed]
+    last = rows.groupBy(*keyed).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_new"))
+    return keyed, cut_lineage(last.select(*keyed, "_new.*"))
+
+
+def _actions(old: DataFrame, new: DataFrame, keyed: list[str], hash_col: str) -> DataFrame:
+    """What happens to each key of the batch, from keys and hashes alone."""
+    have = old.withColumnRenamed(hash_col, "_old_hash").withColumn("_stored", F.lit(True))
     action = (
-        F.when(~has_new, F.lit(KEPT))
-        .when(~has_old, F.lit(INSERTED))
-        .when(same, F.lit(UNCHANGED))
+        F.when(F.col("_stored").isNull(), F.lit(INSERTED))
+        .when(F.col("_old_hash").eqNullSafe(F.col(hash_col)), F.lit(UNCHANGED))
         .otherwise(F.lit(UPDATED))
     )
-    marked = both.withColumn("_action", action)
-    kept = F.when(F.col("_action").isin(KEPT, UNCHANGED), F.col("_old")).otherwise(F.col("_new"))
-    return marked.withColumn("_row", kept).select(*keys, "_row.*", "_action").select(*lake.columns, "_action")
+    return new.join(have, keyed, "left").select(*keyed, action.alias("_action"))
+
+
+def upsert_table(
+    spark: SparkSession,
+    path: str,
+    items: DataFrame,
+    *,
+    buckets: int = 256,
+    hash_col: str = "_content_hash",
+    order: Sequence[str] = ("_scraped_at", "_content_hash"),
+) -> DataFrame:
+    """Upsert into a table stored in key buckets; gives ``brand``, ``_key``, ``_action`` of the batch.
+
+    Only keys and hashes of the batch's buckets are read to decide, and only buckets with
+    a new or changed item are rewritten: a batch that comes again rewrites nothing.
+    """
+    keyed, last = _last_versions(items, None, order)
+    last = last.withColumn("_bucket", F.pmod(F.xxhash64(*keyed), F.lit(buckets)).cast("int"))
+    try:
+        lake = spark.read.schema(last.schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        lake = spark.createDataFrame([], last.schema)
+    touched = last.select("_bucket").distinct()
+    slim = lake.select("_bucket", *keyed, hash_col).join(F.broadcast(touched), "_bucket", "left_semi").drop("_bucket")
+    actions = cut_lineage(_actions(slim, last.select(*keyed, hash_col), keyed, hash_col))
+    fresh = last.join(actions.filter(F.col("_action") != UNCHANGED).drop("_action"), keyed, "left_semi")
+    changed = F.broadcast(fresh.select("_bucket").distinct())  # as many rows as buckets
+    if not fresh.isEmpty():
+        kept = lake.join(changed, "_bucket", "left_semi").join(fresh.select(*keyed), keyed, "left_anti")
+        rows = kept.select(*last.columns).unionByName(fresh).repartition("_bucket")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(path)
+    return actions
 
 
 def reject_reason(captcha: str | None = None) -> Column:

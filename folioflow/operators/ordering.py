@@ -5,8 +5,9 @@ into buckets that follow the order, each bucket is worked on by itself, and what
 to cross a bucket border comes from one summary row per bucket. The cuts only decide
 where rows are processed; results are exact whatever the cuts are.
 
-Everything broadcast here is bounded: at most ``MAX_HOT_KEYS`` keys with at most
-``CUTS`` cuts each. A key outside that list holds less than 1/1000 of the rows.
+Every key with more than ``hot_rows`` rows is cut, into as many buckets as its counted rows
+need. The tables of hot keys hold one row per ``hot_rows`` input rows at most; they are
+joined without a hint, so that their real size decides how.
 """
 
 from __future__ import annotations
@@ -16,13 +17,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioflow.session import estimated_bytes
+from folioflow.session import cut_lineage
 
 HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 1000
-CUTS = 255  # one less than a power of two, for the binary search
-SAMPLE_PER_KEY = 4096
-MIN_ROW_BYTES = 32
+SAMPLE_PER_CUT = 16
 BUCKET = "_bucket"
 
 
@@ -34,9 +32,9 @@ def _same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
 
 
 def lookup(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join with a bounded table, null keys included."""
+    """Left join with a table that has each key once, null keys included."""
     extra = [c for c in small.columns if c not in keys]
-    joined = df.alias("l").join(F.broadcast(small).alias("r"), _same_keys("l", "r", keys), "left")
+    joined = df.alias("l").join(small.alias("r"), _same_keys("l", "r", keys), "left")
     return joined.select("l.*", *[f"r.{c}" for c in extra])
 
 
@@ -45,31 +43,24 @@ def order_cuts(
 ) -> DataFrame | None:
     """Cut points of the hot keys: ``keys``, ``_cuts`` (ascending order values).
 
-    None for an input too small to hold a hot key, which saves looking for one.
+    None if no key has more than ``hot_rows`` rows, which one count of the keys tells.
     """
-    if estimated_bytes(df) < hot_rows * MIN_ROW_BYTES:
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = cut_lineage(counted.filter(F.col("_n") > hot_rows))
+    if hot.isEmpty():
         return None
     slim = df.select(*keys, F.struct(*order).alias("_ord"))
-    # Heavy keys show up in a hash sample as well; small runs look at every row.
-    step = max(1, hot_rows // 10_000)
-    seen = slim if step == 1 else slim.filter(F.pmod(F.xxhash64("_ord"), F.lit(step)) == 0)
-    hot = (
-        seen.groupBy(*keys)
-        .agg((F.count(F.lit(1)) * step).alias("_n"))
-        .filter(F.col("_n") > hot_rows)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(MAX_HOT_KEYS)
-    )
     marked = lookup(slim, hot, keys).filter(F.col("_n").isNotNull())
-    thin = F.greatest(F.lit(1), F.floor(F.col("_n") / SAMPLE_PER_KEY))
+    parts = F.ceil(F.col("_n") / hot_rows)
+    thin = F.greatest(F.lit(1), F.floor(F.col("_n") / (parts * SAMPLE_PER_CUT)))
     picked = marked.filter(F.pmod(F.xxhash64("_ord", F.lit(1)), thin) == 0)
-    sample = picked.groupBy(*keys).agg(F.sort_array(F.collect_set("_ord")).alias("_s"))
+    sample = picked.groupBy(*keys, "_n").agg(F.sort_array(F.collect_set("_ord")).alias("_s"))
     n = F.size("_s")
     cuts = F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(CUTS), n)),
-        lambda i: F.get(F.col("_s"), F.least(n - 1, F.floor(i * n / (CUTS + 1)).cast("int"))),
+        F.sequence(F.lit(1), F.least(parts, n)),
+        lambda i: F.get(F.col("_s"), F.least(n - 1, F.floor(i * n / (parts + 1)).cast("int"))),
     )
-    return sample.select(*keys, F.array_distinct(cuts).alias("_cuts"))
+    return cut_lineage(sample.select(*keys, F.array_distinct(cuts).alias("_cuts")))
 
 
 def add_bucket(df: DataFrame, cuts: DataFrame | None, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -81,7 +72,8 @@ def add_bucket(df: DataFrame, cuts: DataFrame | None, keys: Sequence[str], order
     rows = rows.withColumn(BUCKET, F.lit(0))
     # Binary search for the number of cuts below this row: one projection per halving,
     # all inside generated code. Past the last cut there is null, which counts as above.
-    step = (CUTS + 1) // 2
+    most = cuts.agg(F.max(F.size("_cuts"))).first()[0] or 1
+    step = 1 << (most.bit_length() - 1)
     while step:
         below = F.get("_cuts", F.col(BUCKET) + (step - 1)) < here
         rows = rows.withColumn(BUCKET, F.col(BUCKET) + F.when(below, F.lit(step)).otherwise(F.lit(0)))

@@ -179,7 +179,7 @@ def assign_file_names(
         named = named.withColumn("_tie", tie)
     ranked = rank_rows(named, ["_base"], order, "_rank", hot_rows).withColumn("_number", F.col("_rank") - 1)
     if existing is not None:
-        ranked = _skip_taken(ranked, parse_file_names(existing).distinct(), hot_rows)
+        ranked = _skip_taken(ranked, parse_file_names(existing), hot_rows)
     return ranked.withColumn("file_name", numbered_name("_base", "_number")).select(*items.columns, "file_name")
 
 
@@ -191,7 +191,8 @@ def _skip_taken(ranked: DataFrame, taken: DataFrame, hot_rows: int) -> DataFrame
     Unbroken runs of taken numbers share one f and are one row.
     """
     ranked = cut_lineage(ranked)
-    taken = taken.join(ranked.select("_base").distinct(), "_base", "left_semi")
+    # Names of this batch only; the others are dropped where they are read.
+    taken = taken.join(ranked.select("_base").distinct(), "_base", "left_semi").distinct()
     free_below = rank_rows(taken, ["_base"], ["_number"], "_pos", hot_rows).withColumn(
         "_at", F.col("_number") - (F.col("_pos") - 1)
     )

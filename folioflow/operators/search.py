@@ -17,11 +17,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioflow.session import ship_package, spread_small
+from folioflow.operators.ordering import rank_rows
+from folioflow.session import cut_lineage, ship_package, spread_small
 
 MAX_QUERIES = 1000
 MAX_TERMS = 20_000
-SCORE_DIGITS = 6
 SLICE = 512
 _RESULT = "query_id bigint, doc_id bigint, score double"
 
@@ -62,9 +62,10 @@ def _chunks(queries: DataFrame, id_col: str) -> Iterator[DataFrame]:
     if parts <= 1:
         yield queries
         return
-    ranked = queries.withColumn("_part", F.pmod(F.xxhash64(id_col), F.lit(parts * 2)))
-    for part in range(parts * 2):
-        yield ranked.filter(F.col("_part") == part).drop("_part")
+    # Positions, not hashes: a chunk never has more rows than it may, whatever the ids are.
+    kept = cut_lineage(rank_rows(queries.withColumn("_all", F.lit(0)), ["_all"], [id_col], "_place"))
+    for part in range(parts):
+        yield kept.filter(F.floor((F.col("_place") - 1) / MAX_QUERIES) == part).select(*queries.columns)
 
 
 def _top_k(scored: DataFrame, k: int) -> DataFrame:
@@ -91,13 +92,22 @@ def search_vector(
     query_id: str = "query_id",
     query_vector: str = "embedding",
 ) -> DataFrame:
-    """Exact k nearest vectors per query by cosine similarity."""
+    """Exact k nearest vectors per query by cosine similarity.
+
+    Queries are compared with vectors of their own length; unusable ones on either side
+    (see ``vector_fault``) match nothing.
+    """
     spark = vectors.sparkSession
     ship_package(spark)
-    table = spread_small(vectors.select(F.col(id_col).cast("bigint"), F.col(vector_col).cast("array<double>")))
+    usable = queries.filter(vector_fault(query_vector).isNull()).select(query_id, F.col(query_vector).alias("_vector"))
+    usable = usable.withColumn("_dim", F.size("_vector"))
+    every = vectors.filter(vector_fault(vector_col).isNull())
+    every = spread_small(every.select(F.col(id_col).cast("bigint"), F.col(vector_col).cast("array<double>").alias("_vector")))
     found = []
-    for chunk in _chunks(queries, query_id):
-        rows = chunk.select(query_id, query_vector).collect()
+    lengths = [r[0] for r in usable.select("_dim").distinct().collect()]
+    for dim, chunk in ((d, c) for d in sorted(lengths) for c in _chunks(usable.filter(F.col("_dim") == d), query_id)):
+        table = every.filter(F.size("_vector") == dim)
+        rows = chunk.select(query_id, "_vector").collect()
         if not rows:
             continue
         names = np.array([r[0] for r in rows], dtype=np.int64)
@@ -109,13 +119,20 @@ def search_vector(
             for batch in _slices(batches):
                 flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
                 unit = _unit(flat.reshape(batch.num_rows, -1))
-                best.add(np.round(matrix @ unit.T, SCORE_DIGITS), batch.column(0).to_numpy())
+                best.add(matrix @ unit.T, batch.column(0).to_numpy())
             yield best.batch(names)
 
         found.append(table.mapInArrow(score, _RESULT))
     return _top_k(_union(found, spark), k)
 
 
+def vector_fault(vector: Column | str) -> Column:
+    """Why a vector cannot be compared: ``null``, ``empty`` or ``not finite``; null when it can."""
+    v = F.col(vector) if isinstance(vector, str) else vector
+    fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.when(v.isNull(), "null").when(F.size(v) == 0, "empty").when(~fine, "not finite")
+
+
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches of at most ``SLICE`` rows, whatever the session's Arrow batch size is."""
     for batch in batches:
@@ -202,7 +219,7 @@ def _text_scorer(shared, k: int):
             at, tf = np.unique(cell, return_counts=True)
             matrix = np.zeros(n * len(terms))
             matrix[at] = 1.0 + np.log(tf)
-            points = np.round(matrix.reshape(n, len(terms)) @ weights, SCORE_DIGITS).T
+            points = (matrix.reshape(n, len(terms)) @ weights).T
             best.add(np.where(points > 0, points, -np.inf), batch.column(0).to_numpy())
         yield best.batch(names)
 

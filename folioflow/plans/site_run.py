@@ -42,7 +42,7 @@ from folioflow.rules import Rules, by_site
 from folioflow.session import join_path, spread_small
 from folioflow.sources.items import write_items
 from folioflow.sources.sitemap import sitemap_urls
-from folioflow.streaming.state import COMPACT_EVERY, NameTable, SeenTable
+from folioflow.streaming.state import COMPACT_EVERY, NameTable, SeenTable, complete_dirs
 
 _LISTING = {"links": "array<string>", "editions": "array<string>", "next": "string", "last": "string"}
 
@@ -61,13 +61,26 @@ class RunStore:
     def items(self, batch: int) -> str:
         return join_path(self.root, "items", f"batch={batch}")
 
+    def links(self, batch: int) -> str:
+        return join_path(self.root, "links", f"batch={batch}")
+
+    def before(self, kind: str, batch: int) -> DataFrame | None:
+        """What earlier batches have written to ``staged`` or ``links``; None before the first one."""
+        root = join_path(self.root, kind)
+        done = sorted(int(n[6:]) for n in complete_dirs(self.spark, root) if n.startswith("batch="))
+        paths = [join_path(root, f"batch={n}") for n in done if n < batch]
+        return self.spark.read.parquet(*paths) if paths else None
+
     def compact(self, batch: int) -> None:
         self.seen.compact(batch)
         self.names.compact(batch)
 
 
-def stage_pages(pages: DataFrame, rules: Rules, path: str, skip_captcha: bool = False) -> DataFrame:
-    """Parse every page once for listing and article fields; write and read back the result."""
+def stage_pages(pages: DataFrame, rules: Rules, path: str, skip_captcha: bool = False, batch: int = 0) -> DataFrame:
+    """Parse every page once for listing and article fields; write and read back the result.
+
+    ``_batch`` and ``_row`` name a staged page over all batches.
+    """
     articles, listings = article_fields(rules), listing_fields(rules)
     fields = {s: {**articles.get(s, {}), **listings.get(s, {})} for s in rules}
     known = flag_captcha(pages.filter(F.col("site").isin(list(rules))), skip=skip_captcha)
@@ -79,7 +92,8 @@ def stage_pages(pages: DataFrame, rules: Rules, path: str, skip_captcha: bool =
     dom = F.struct(*rest) if rest else F.struct(F.lit(None).cast("array<string>").alias("tags"))
     kept = [c for c in parsed.columns if c not in ("dom", "jsonld")]
     staged = parsed.select(*kept, dom.alias("dom"), *flat).withColumn("_content_hash", item_hash("merged.body"))
-    return _stored(staged.withColumn("_row", F.monotonically_increasing_id()), path)
+    staged = staged.withColumns({"_batch": F.lit(batch).cast("long"), "_row": F.monotonically_increasing_id()})
+    return _stored(staged, path)
 
 
 def discover(staged: DataFrame, pages: DataFrame, rules: Rules) -> DataFrame:
@@ -98,8 +112,8 @@ def discover(staged: DataFrame, pages: DataFrame, rules: Rules) -> DataFrame:
         paged = expand_pages(start, rules)
         listings.append(paged.withColumn("depth", F.col("page_no")).select(*plain))
     if any(r.next_selector for r in rules.values()):
-        edges = scan.filter(F.col("next").isNotNull())
-        edges = explode_links(edges.withColumn("links", F.array("next"))).select("site", "from_url", "url")
+        edges = staged.filter(F.col("next").isNotNull()).select("site", "url", "fetched_at", F.array("next").alias("links"))
+        edges = explode_links(edges).select("site", "from_url", "url", "fetched_at")
         chained = follow_next(start, edges)
         listings.append(chained.filter(F.col("depth") > 0).select(*plain))
 
@@ -114,20 +128,20 @@ def discover(staged: DataFrame, pages: DataFrame, rules: Rules) -> DataFrame:
 def _sitemap_links(pages: DataFrame, rules: Rules) -> DataFrame:
     urls = [r.sitemap_url for r in rules.values() if r.sitemap_url]
     maps = pages.filter(F.col("url").isin(urls)).select("site", F.col("url").alias("from_url"), F.col("html").alias("xml"))
-    entries = sitemap_urls(maps).select("site", "from_url", F.col("loc").alias("url"))
+    entries = sitemap_urls(maps).select("site", "from_url", F.col("loc").alias("url"), "pos")
     return filter_urls(entries, rules).withColumns(
         {
             "listing_category": F.lit(""),
             "ord": F.lit(0),
             "depth": F.lit(0).cast("long"),
-            "pos": F.lit(0),
         }
     )
 
 
 def decide(staged: DataFrame, links: DataFrame | None, rules: Rules, store: RunStore, batch: int) -> DataFrame:
-    """``_row``, ``_change``, ``file_name`` and listing category of every new or updated item."""
+    """``_batch``, ``_row``, ``_change``, ``file_name`` and listing category of every new or updated item."""
     slim = staged.select(
+        "_batch",
         "_row",
         "site",
         "url",
@@ -151,12 +165,12 @@ def decide(staged: DataFrame, links: DataFrame | None, rules: Rules, store: RunS
         }
     )
     seen = store.seen.before(batch, slim.select("brand", "url"))
-    changed = drop_unchanged(detect_changes(slim, seen, order=("_scraped_at", "_content_hash", "_row")))
+    changed = drop_unchanged(detect_changes(slim, seen, order=("_scraped_at", "_content_hash", "_batch", "_row")))
     changed = _stored(changed, join_path(store.root, "changed", f"batch={batch}"))
     named = assign_file_names(
-        changed, store.names.before(batch), order=("_scraped_at", "url", "_content_hash", "_row")
+        changed, store.names.before(batch), order=("_scraped_at", "url", "_content_hash", "_batch", "_row")
     )
-    keep = ["_row", "_change", "file_name"] + (["listing_category"] if "listing_category" in named.columns else [])
+    keep = ["_batch", "_row", "_change", "file_name"] + (["listing_category"] if "listing_category" in named.columns else [])
     return _stored(named.select(*keep), join_path(store.root, "decided", f"batch={batch}"))
 
 
@@ -168,7 +182,7 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
 def write_run(staged: DataFrame, decisions: DataFrame, rules: Rules, path: str) -> None:
     """Join decisions with the bodies and write the items."""
     fresh = staged.drop("listing_category") if "listing_category" in decisions.columns else staged
-    joined = fresh.join(decisions, "_row")
+    joined = fresh.join(decisions, ["_batch", "_row"])
     items = assemble_items(joined, rules, keep=("_change", "file_name"))
     write_items(items, path)
 
@@ -185,13 +199,15 @@ def run_batch(
     """One run over ``pages`` (site, url, html, fetched_at).
 
     With ``crawl_links`` articles are the pages found over the sites' listings and
-    sitemaps; without, every page that passes its site's URL filter is one. Items are
-    written before names and state, so a run that stops half-way loses nothing.
+    sitemaps, whichever batch the one and the other came in; without, every page that
+    passes its site's URL filter is one. Items are written before names and state, so a run
+    that stops half-way loses nothing.
     """
-    staged = stage_pages(pages, rules, store.staged(batch), skip_captcha)
+    staged = stage_pages(pages, rules, store.staged(batch), skip_captcha, batch)
     links = None
     if crawl_links:
-        links = _stored(discover(staged, pages, rules), join_path(store.root, "links", f"batch={batch}"))
+        links = _stored(discover(staged, pages, rules), store.links(batch))
+        staged, links = _with_earlier(staged, links, store, batch)
     decisions = decide(staged, links, rules, store, batch)
     write_run(staged, decisions, rules, store.items(batch))
 
@@ -199,17 +215,38 @@ def run_batch(
     # The state after a batch is the last changed version of each key: an unchanged
     # version has the hash that is stored already.
     fresh = staged.select(
+        "_batch",
         "_row",
         F.col("url").alias("_key"),
         "_content_hash",
         F.col("fetched_at").alias("_scraped_at"),
         by_site("site", rules, lambda r: F.lit(r.brand)).alias("brand"),
-    ).join(decisions.select("_row"), "_row", "left_semi")
-    store.seen.write_delta(latest_state(fresh, order=("_scraped_at", "_content_hash", "_row")), batch)
+    ).join(decisions.select("_batch", "_row"), ["_batch", "_row"], "left_semi")
+    store.seen.write_delta(latest_state(fresh, order=("_scraped_at", "_content_hash", "_batch", "_row")), batch)
     if batch and batch % COMPACT_EVERY == 0:
         store.compact(batch)
 
 
+def _with_earlier(staged: DataFrame, links: DataFrame, store: RunStore, batch: int) -> tuple[DataFrame, DataFrame]:
+    """Pages and links this batch has to look at, with those that waited for it.
+
+    Links of earlier batches meet the pages of this one, and pages of earlier batches
+    that no link led to meet the links that are new now. Bodies of earlier pages are read
+    only where a decision asks for them.
+    """
+    past_links, past_pages = store.before("links", batch), store.before("staged", batch)
+    if past_links is not None:
+        known = past_links.select("site", "url").distinct()
+        fresh = links.select("site", "url").distinct().join(known, ["site", "url"], "left_anti")
+        links = past_links.select(*links.columns).unionByName(links)
+    else:
+        fresh = links.select("site", "url").distinct()
+    if past_pages is not None:
+        waiting = past_pages.join(fresh, ["site", "url"], "left_semi")
+        staged = staged.unionByName(waiting, allowMissingColumns=True)
+    return staged, links
+
+
 def dry_run(pages: DataFrame, rules: Rules, root: str, batch: int = 0) -> DataFrame:
     """What a run would take up: URLs per listing, in the scope each site counts them. No items."""
     store = RunStore(pages.sparkSession, root)

@@ -30,6 +30,15 @@ CATEGORY_RULES = (
 DEDUP_SCOPES = ("site", "page", "none")
 
 
+# Link paths of a configuration and the link mode that answers them.
+LINK_PATHS = {
+    "read_more_xpath": {
+        "//a[contains(translate(text(), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), 'read more')]/@href": "read_more_or_css"
+    },
+    "link_xpath": {"//a[h3[@class='splash']]/@href": "headline"},
+}
+
+
 @dataclass(frozen=True)
 class SiteRules:
     site: str
@@ -83,6 +92,11 @@ class SiteRules:
         listing = tree.get("listing", {})
         paging = tree.get("pagination", {})
         filters = tree.get("url_filters", {})
+        for key, paths in LINK_PATHS.items():
+            if (path := listing.get(key)) is not None:
+                if path not in paths:
+                    raise ValueError(f"site {site}: listing.{key} {path!r} is not supported, use link_selector")
+                extra.setdefault("link_mode", paths[path])
         return cls(
             site=site,
             brand=tree.get("brand", site),

@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Of a key that a JSON object has twice the last value counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Pages are large rows: keep the Arrow batches of the DOM job small.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
 }

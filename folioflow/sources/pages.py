@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from folioflow.rules import Rules
 from folioflow.session import join_path
 
+_RULE_HOST = re.compile(r"\^?https?\??:(?://|\\/\\/)((?:[A-Za-z0-9-]|\\?\.)+?)(?=\\?[/:$]|$)")
+
 
 def read_pages(
     spark: SparkSession, path: str, columns: Sequence[str] | None = None, fmt: str = "parquet"
@@ -32,7 +35,10 @@ def with_site(pages: DataFrame, rules: Rules, url: str = "url") -> DataFrame:
     site = None
     for name, r in rules.items():
         starts = [u for u, _ in r.entry_points] + ([r.sitemap_url] if r.sitemap_url else [])
-        hosts = sorted({u.split("/")[2].lower() for u in starts})
+        hosts = {u.split("/")[2].lower() for u in starts}
+        # An include rule names a host when it begins with a scheme and a literal one.
+        named = (_RULE_HOST.match(p) for p in r.include)
+        hosts = sorted(hosts | {m.group(1).replace("\\", "").lower() for m in named if m})
         if hosts:
             hit = host.isin(hosts)
             site = F.when(hit, F.lit(name)) if site is None else site.when(hit, F.lit(name))

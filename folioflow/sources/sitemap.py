@@ -15,11 +15,11 @@ def _clean(entries: DataFrame) -> DataFrame:
 
 
 def sitemap_urls(df: DataFrame, xml_col: str = "xml") -> DataFrame:
-    """One row per non-blank ``loc``; a text that is no XML gives no row."""
+    """One row per non-blank ``loc`` with its position ``pos``; a text that is no XML gives no row."""
     keep = [c for c in df.columns if c != xml_col]
     parsed = df.select(*keep, F.from_xml(F.col(xml_col), SITEMAP_ENTRIES, _OPTIONS).alias("_map"))
-    entries = parsed.select(*keep, F.explode("_map.url").alias("_entry"))
-    return _clean(entries.select(*keep, "_entry.loc", "_entry.lastmod", "_entry.priority"))
+    entries = parsed.select(*keep, F.posexplode("_map.url").alias("pos", "_entry"))
+    return _clean(entries.select(*keep, "pos", "_entry.loc", "_entry.lastmod", "_entry.priority"))
 
 
 def read_sitemap_files(spark: SparkSession, path: str) -> DataFrame:

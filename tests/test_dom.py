@@ -8,7 +8,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from folioflow.functions.dom import Document, Selector, all_text, attr_values, clean_markup, images_of, own_texts, text_of
+from folioflow.functions.dom import Document, Selector, all_text, attr_values, clean_markup, own_texts, raw_images, text_of
 from folioflow.operators.extraction import Take, dom_select
 
 
@@ -75,11 +75,29 @@ def test_images():
         "</figure><img alt=none><figcaption>outer</figcaption></div></figure>"
     )
     box = pick(html, "#b")[0]
-    assert images_of(box, "https://h.org/p/q", True) == [
-        {"url": "https://h.org/1.png", "alt": "A", "caption": ""},
-        {"url": "https://h.org/p/2.png", "alt": "", "caption": "Cd"},
+    assert raw_images(box) == [
+        {"src": "/1.png", "data-src": None, "alt": " A ", "caption": ""},
+        {"src": None, "data-src": "2.png", "alt": None, "caption": "Cd"},
+        {"src": None, "data-src": None, "alt": "none", "caption": ""},
     ]
-    assert len(images_of(box, "https://h.org/p/q", False)) == 1
+
+
+def test_image_columns(spark):
+    html = "<div id=b><img src='/1.png' alt=' A '><img data-src=2.png><img alt=none></div>"
+    pages = spark.createDataFrame([("a", html), ("b", html), ("a", "<p>"), ("a", None)], "site string, html string")
+    pages = pages.withColumn("url", F.lit("https://h.org/p/q"))
+    fields = {
+        "a": {"images": Take("images", "#b", lazy=True)},
+        "b": {"images": Take("images", "#b", base_url="https://o.org/")},
+    }
+    rows = dom_select(pages, fields).select("site", F.col("dom.images").alias("i")).collect()
+    found = {(r.site, i): [tuple(x) for x in r.i or []] for i, r in enumerate(rows)}
+    assert found == {
+        ("a", 0): [("https://h.org/1.png", "A", ""), ("https://h.org/p/2.png", "", "")],
+        ("b", 1): [("https://o.org/1.png", "A", "")],
+        ("a", 2): [],
+        ("a", 3): [],
+    }
 
 
 @pytest.mark.parametrize(
@@ -94,6 +112,8 @@ def test_hostile_markup_takes_linear_time(piece):
 def test_deep_nesting_keeps_text():
     doc = Document("<div>" * 3000 + "deep" + "</div>" * 3000)
     assert "deep" in clean_markup(doc.root)
+    doc = Document("<div>" * 1500 + "<ul><li><b>x</b></li></ul>" + "</div>" * 1500)
+    assert text_of(doc.select(Selector("li > b"))) == "x"
 
 
 def test_job_parses_once_and_skips_unknown_sites(spark):

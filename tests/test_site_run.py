@@ -131,7 +131,9 @@ def test_job_and_dry_run(spark, tmp_path, capsys):
     common = ["--pages", str(tmp_path / "pages"), "--root", str(tmp_path / "lib"), "--sites", "iasa,clm"]
     job.main(["discover", *common])
     shown = capsys.readouterr().out
-    assert "Editions/1" in shown and "News.aspx" in shown
+    assert "2 URLs in 2 listings" in shown
+    report = spark.read.parquet(str(tmp_path / "lib" / "discovered" / "batch=0")).collect()
+    assert {r.from_url.rsplit("/", 1)[-1] for r in report} == {"1", "News.aspx"}
     job.main(["run", *common, "--batch", "3"])
     path = capsys.readouterr().out.strip().splitlines()[-1]
     assert {r.brand for r in read_items(spark, path, multi_line=False).collect()} == {"iasa", "clm"}
