@@ -4,8 +4,8 @@ Patterns give the base spans. Any other run of ``[A-Za-z0-9+/_=-]`` of 20 to 512
 characters is a candidate (longer ones are payloads, not keys; base patterns still see
 them). Its encoding is inferred from its characters, and it is tested for
 
-* text-likeness: how often neighbouring characters change between letter and digit or
-  between cases; the Chernoff bound of that count under the rate of plain text is a
+* text-likeness: how often words, capitals and digits take turns (separators and the capital
+  of a word are no change); the Chernoff bound of that count under the rate of plain text is a
   p-value that falls with length;
 * uniform use of its alphabet (chi-squared), runs above and below the middle of the
   alphabet, and correlation of neighbouring symbols, each as a z value.
@@ -88,10 +88,12 @@ def _alphabet(token: Column) -> Column:
 
 def text_p_value(token: Column) -> Column:
     """Minus log10 of the p-value of the class changes under plain text; 0 if there are no more than usual."""
-    n = F.length(token) - 1
-    # Mark each class by one character, then count the borders between unlike neighbours.
-    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(token, "[a-z]+", "a"), "[A-Z]+", "B"), "[0-9]+", "0")
-    rate = F.least(F.lit(0.999), (F.length(shape) - 1) / n)
+    plain = F.regexp_replace(token, "[^A-Za-z0-9]+", "")
+    n = F.greatest(F.length(plain) - 1, F.lit(1))
+    # A word is one mark, a capital before it included; borders between unlike marks are counted.
+    words = F.regexp_replace(F.regexp_replace(plain, "[A-Z]?[a-z]+", "a"), "a+", "a")
+    shape = F.regexp_replace(F.regexp_replace(words, "[A-Z]+", "B"), "[0-9]+", "0")
+    rate = F.greatest(F.lit(0.0), F.least(F.lit(0.999), (F.length(shape) - 1) / n))
     q = F.lit(CHANGE_RATE)
     divergence = rate * F.log(rate / q) + (1 - rate) * F.log((1 - rate) / (1 - q))
     return F.when(rate > q, n * divergence / F.log(F.lit(10.0))).otherwise(0.0)

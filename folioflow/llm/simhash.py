@@ -13,6 +13,8 @@ table gives an empty result. Columns of the input are kept, whatever their names
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -58,24 +60,28 @@ def _segments(fps: DataFrame) -> DataFrame:
     return fps.select("fp", F.explode(both).alias("s")).select("fp", "s.seg", "s.v")
 
 
-def _ball(value, bits: int):
-    """A value and its neighbours with one set bit cleared.
+def _ball(value, bits: int, either: bool = False):
+    """A value and its neighbours with one set bit cleared; with ``either`` all that differ in one bit.
 
-    Of two values that differ in one bit, one has it set: clearing is enough to meet.
+    Of two values that differ in one bit, one has it set: clearing is enough to meet, as
+    long as each of the two may be the one that asks.
     """
-    masks = F.filter(
-        F.transform(F.sequence(F.lit(0), F.lit(bits - 1)), lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), i)),
-        lambda m: value.bitwiseAND(m) != 0,
-    )
+    masks = F.transform(F.sequence(F.lit(0), F.lit(bits - 1)), lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), i))
+    if not either:
+        masks = F.filter(masks, lambda m: value.bitwiseAND(m) != 0)
     return F.concat(F.array(value), F.transform(masks, lambda m: value.bitwiseXOR(m)))
 
 
+def _in_part(part: int, value):
+    return F.struct(F.lit(part).alias("part"), value.alias("w"))
+
+
 def _finer(rows: DataFrame, probe: bool) -> DataFrame:
     """Add 16 bits of the other segment to a hot key: one of its halves differs by one bit at most."""
     other = F.when(F.col("seg") == 0, F.shiftrightunsigned("fp", 32)).otherwise(F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)))
     halves = [other.bitwiseAND(F.lit(0xFFFF)), F.shiftrightunsigned(other, 16)]
-    near = [_ball(h, 16) if probe else F.array(h) for h in halves]
-    keys = F.concat(*[F.transform(n, lambda x, part=part: F.struct(F.lit(part).alias("part"), x.alias("w"))) for part, n in enumerate(near)])
+    near = [_ball(h, 16, either=True) if probe else F.array(h) for h in halves]  # who asks is settled by now
+    keys = F.concat(*[F.transform(n, partial(_in_part, part)) for part, n in enumerate(near)])
     return rows.withColumn("k", F.explode(keys)).select("fp", "seg", "v", "k.part", "k.w")
 
 
