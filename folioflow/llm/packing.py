@@ -18,7 +18,9 @@ from __future__ import annotations
 
 from bisect import bisect_right, insort
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -30,7 +32,7 @@ CONTEXT, TIERS, CLOSE = 2048, (1024, 512, 256, 128, 64), 1
 STEP = 32
 BLOCK_TOKENS, SLICE_BYTES = 1 << 20, 4 << 20
 #: Words whose ids a worker remembers, and the longest of them.
-MAX_CACHE, MAX_WORD = 300_000, 64
+MAX_CACHE, MAX_WORD = 1_000_000, 64
 SCHEMA = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, "
     "offset long, sequence_tokens long, context long, step_group long"
@@ -40,28 +42,61 @@ Piece = tuple[int | None, int, bytes, int]
 
 
 class WordTokenizer:
-    """Ids by word: this tokenizer drops white space, so ids of words join to ids of the text."""
+    """Ids by word: this tokenizer drops white space and case, so ids of words join to ids of the text.
+
+    A word that ends in one comma or full stop after a letter has the ids of both parts. New
+    words are encoded many at once, with a token between them that no text here holds.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {"": b""}
+        self.between = next(t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.special)
+        self.mark = self.tokenizer.token_to_id(self.between)
+        self.cache: dict[bytes, bytes] = {b"": b""}
+        self.ends = {end: self._ids(end.decode()) for end in (b",", b".")}
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        """Ids of each text as little-endian bytes."""
         if len(self.cache) > MAX_CACHE:
-            self.cache = {"": b""}
-        known = self.cache
-        new = list({w for words in split for w in words if w not in known})
-        once = {}
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                ids = b"".join(i.to_bytes(4, "little") for i in e.ids)
-                (known if len(w) <= MAX_WORD else once)[w] = ids
-        find = {**known, **once}.__getitem__ if once else known.__getitem__
-        return [b"".join(map(find, words)) for words in split]
+            self.cache = {b"": b""}
+        raw = [t.encode() for t in texts]
+        # Special tokens are told by their case, so texts that may hold one are encoded whole.
+        split = [[] if b"<|" in t else t.lower().replace(b"\n", b" ").split(b" ") for t in raw]
+        words = list(chain.from_iterable(split))
+        ids = list(map(self.cache.get, words))
+        gaps = [i for i, x in enumerate(ids) if x is None]
+        once = self._learn({words[i] for i in gaps})
+        for i in gaps:
+            w = words[i]
+            ids[i] = self.cache[w] if w in self.cache else once[w]
+        out, at = [], 0
+        for text, t, own in zip(texts, raw, split, strict=True):
+            out.append(self._ids(text) if b"<|" in t else b"".join(ids[at : at + len(own)]))
+            at += len(own)
+        return out
+
+    def _learn(self, new: set[bytes]) -> dict[bytes, bytes]:
+        """Remember the ids of new words; those too long to keep are returned."""
+        ended = [w for w in new if w[-1:] in self.ends and b"a" <= w[-2:-1] <= b"z"]
+        stems = list((new.difference(ended) | {w[:-1] for w in ended}).difference(self.cache))
+        once: dict[bytes, bytes] = {}
+        for at in range(0, len(stems), 64 * 256):
+            parts = [stems[k : k + 256] for k in range(at, min(len(stems), at + 64 * 256), 256)]
+            joined = [self.between.encode().join(p).decode() for p in parts]
+            for part, made in zip(parts, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+                ids = np.array(made.ids, "<u4")
+                cuts, flat = (4 * np.flatnonzero(ids == self.mark)).tolist(), ids.tobytes()
+                for w, s, e in zip(part, [0, *(c + 4 for c in cuts)], [*cuts, len(flat)], strict=True):
+                    (self.cache if len(w) <= MAX_WORD else once)[w] = flat[s:e]
+        for w in ended:
+            stem = self.cache[w[:-1]] if w[:-1] in self.cache else once[w[:-1]]
+            (self.cache if len(w) <= MAX_WORD else once)[w] = stem + self.ends[w[-1:]]
+        return once
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
