@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ from folioflow.operators.quality import (
     numbered_name,
     upsert_state,
 )
+from folioflow.session import join_path, shared_dir
+from folioflow.streaming.state import SeenTable
 
 _ORDER = ("ts", "event_id")
 
@@ -100,6 +104,33 @@ def q_state(spark: SparkSession, d: str) -> DataFrame:
     return upsert_state(old, new).select("url", "content_hash", F.date_format("seen_at", "yyyy-MM-dd HH:mm:ss").alias("seen_at"))
 
 
+@check(
+    """
+    WITH e AS (SELECT user_id, sha256(event_type) AS hash, ts, event_id, event_id % 3 AS batch FROM events),
+    s AS (SELECT user_id, batch, arg_max(hash, (ts, event_id)) AS hash FROM e WHERE batch < 2 GROUP BY user_id, batch)
+    SELECT '/user/' || user_id AS url, arg_max(hash, batch) AS content_hash FROM s
+    WHERE user_id IN (SELECT user_id FROM e WHERE batch = 2) GROUP BY user_id
+    """
+)
+def q_state_replay(spark: SparkSession, d: str) -> DataFrame:
+    """State that batch 2 sees: two earlier batches, gathered, the second one played again."""
+    events = table(spark, d, "events").select(
+        (F.col("event_id") % 3).alias("batch"),
+        "event_id",
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.lit("b").alias("brand"),
+        text("=/user/", "user_id").alias("_key"),
+        F.sha2("event_type", 256).alias("_content_hash"),
+    )
+    parts = [latest_state(events.filter(F.col("batch") == n), order=_ORDER, seen_at="ts") for n in range(3)]
+    store = SeenTable(spark, join_path(shared_dir(spark), f"seen-{uuid.uuid4().hex}"))
+    store.write_delta(parts[0], 0)
+    store.write_delta(parts[1], 1)
+    store.compact(1)
+    store.write_delta(parts[1], 1)
+    return store.before(2, parts[2].select("brand", "url")).select("url", "content_hash")
+
+
 @check("SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS n FROM events")
 def q_rank_hot(spark: SparkSession, d: str) -> DataFrame:
     """Positions inside five big groups, each cut into ordered buckets."""

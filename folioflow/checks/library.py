@@ -13,6 +13,8 @@ from folioflow.operators.lake import fetch_items, list_items, mark_rejects, upse
 from folioflow.operators.quality import annotate_missing
 from folioflow.operators.reports import (
     CATEGORY_WORDS,
+    MODEL_NAMES,
+    TAG_WORDS,
     classify_terms,
     missing_profile,
     sample_pages,
@@ -177,6 +179,51 @@ def q_upsert(spark: SparkSession, d: str) -> DataFrame:
     return upsert_items(lake, second, order=order).select("source_url", F.col("_action").alias("action"), "event_id")
 
 
+_TAGS = "[c_mktsegment, CASE WHEN c_custkey % 3 = 0 THEN ' Policy' WHEN c_custkey % 3 = 1 THEN 'claim ' ELSE 'insurtech' END, 'RISK']"
+
+
+def _with_tags(spark: SparkSession, d: str) -> DataFrame:
+    turn = F.col("c_custkey") % 3
+    word = F.when(turn == 0, " Policy").when(turn == 1, "claim ").otherwise("insurtech")
+    return table(spark, d, "customer").select("c_custkey", F.array(F.col("c_mktsegment"), word, F.lit("RISK")).alias("tags"))
+
+
+@check(
+    """
+    SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'policy|' WHEN c_custkey % 3 = 1 THEN 'claim|' ELSE '' END || 'risk' AS known,
+           CASE WHEN c_custkey % 3 < 2 THEN lower(c_mktsegment) ELSE least(lower(c_mktsegment), 'insurtech') || '|' || greatest(lower(c_mktsegment), 'insurtech') END AS other
+    FROM customer
+    """
+)
+def q_tags(spark: SparkSession, d: str) -> DataFrame:
+    """Tags against their own word list."""
+    split = classify_terms(_with_tags(spark, d), TAG_WORDS, "tags")
+    return split.select("c_custkey", joined("known_terms").alias("known"), joined("other_terms").alias("other"))
+
+
+@check(
+    f"""
+    SELECT term, count(*) AS uses, term IN ('insurance', 'risk', 'finance', 'compliance', 'policy', 'claim', 'technology', 'insuretech', 'personal', 'commercial') AS in_vocabulary
+    FROM (SELECT lower(trim(unnest({_TAGS}))) AS term FROM customer) GROUP BY term
+    """
+)
+def q_tags_report(spark: SparkSession, d: str) -> DataFrame:
+    words = spark.createDataFrame([(w,) for w in TAG_WORDS], "term string")
+    return vocabulary_report(_with_tags(spark, d), words, "tags")
+
+
+@check("SELECT doc_id, text AS summary, source AS publish_date, '/doc/' || doc_id AS url FROM documents")
+def q_content_model(spark: SparkSession, d: str) -> DataFrame:
+    """Items under the names of the content model."""
+    items = table(spark, d, "documents").select(
+        "doc_id",
+        F.col("text").alias("description"),
+        F.col("source").alias("date_published"),
+        text("=/doc/", "doc_id").alias("source_url"),
+    )
+    return to_library(items, MODEL_NAMES)
+
+
 _TABLE_SQL = """
     WITH d AS (SELECT doc_id, text, CASE WHEN doc_id % 3 > 0 THEN '/doc/' || doc_id // 2 END AS url,
                       CASE WHEN doc_id % 5 > 0 THEN '/doc/' || doc_id // 2 ELSE '' END AS other FROM documents),

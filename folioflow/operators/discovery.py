@@ -156,18 +156,22 @@ def expand_pages(listings: DataFrame, rules: Rules, last: str = "last") -> DataF
     keep = [c for c in listings.columns if c not in ("links", "editions", "next", "last")]
     slot = by_site("site", rules, lambda r: query_param_slot("url", r.page_param))
     ranged = listings.select(*keep, number.try_cast("bigint").alias("_last"), slot.alias("_slot"))
+    # Most ranges are short and are written out where they are; long ones go in chunks over the cluster.
+    short = ranged.filter((F.col("_last") >= 1) & (F.col("_last") <= PAGE_CHUNK))
+    short = short.withColumn("page_no", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_last"))))
     last_chunk = F.floor((F.col("_last") - 1) / PAGE_CHUNK)
-    chunks = ranged.filter(F.col("_last") >= 1).withColumn(
+    chunks = ranged.filter(F.col("_last") > PAGE_CHUNK).withColumn(
         "_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk))
     )
     first = F.col("_chunk") * PAGE_CHUNK + 1
     # A fixed number: AQE would merge these short rows into few tasks before they multiply.
     tasks = int(listings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pages = chunks.repartition(tasks, "url", "_chunk").withColumn(
+    long = chunks.repartition(tasks, "url", "_chunk").withColumn(
         "page_no", F.explode(F.sequence(first, F.least(F.col("_last"), first + PAGE_CHUNK - 1)))
     )
+    pages = short.unionByName(long.drop("_chunk"))
     built = F.concat("_slot.head", F.col("page_no").cast("string"), "_slot.tail")
-    return pages.withColumnRenamed("url", "from_url").withColumn("url", built).drop("_last", "_chunk", "_slot")
+    return pages.withColumnRenamed("url", "from_url").withColumn("url", built).drop("_last", "_slot")
 
 
 # ---- hops over stored links -----------------------------------------------------------
@@ -190,32 +194,33 @@ def follow_next(seeds: DataFrame, edges: DataFrame, max_steps: int | None = None
     the latest fetch counts. Each round doubles the length of the jumps, so a chain of n
     pages takes log2(n) rounds. A page on several chains belongs to the nearest seed.
     """
-    reached = cut_lineage(seeds.select("site", "url", "ord", "listing_category", F.lit(0).cast("long").alias("depth")))
+    columns = ["site", "url", "ord", "listing_category", "depth"]
+    start = seeds.withColumn("depth", F.lit(0).cast("long")).select(*columns)
+    reached = cut_lineage(first_seen(start, order=["depth", "ord"]).select(*columns))
     newest = [-F.unix_micros(F.col("fetched_at").cast("timestamp"))] if "fetched_at" in edges.columns else []
     first = F.struct(*newest, *(["pos"] if "pos" in edges.columns else []), "url")
-    jumps = edges.groupBy("site", "from_url").agg(F.min_by("url", first).alias("url")).withColumn("_len", F.lit(1).cast("long"))
-    count = reached.count()
-    while True:
+    jumps = edges.groupBy("site", "from_url").agg(F.min_by("url", first).alias("url"))
+    length = 1
+    while max_steps is None or length <= max_steps:
         jumps = cut_lineage(jumps)
         ahead = (
             reached.withColumnRenamed("url", "from_url")
             .join(jumps, ["site", "from_url"])
-            .withColumn("depth", F.col("depth") + F.col("_len"))
-            .select("site", "url", "ord", "listing_category", "depth")
+            .withColumn("depth", F.col("depth") + length)
+            .select(*columns)
         )
         if max_steps is not None:
             ahead = ahead.filter(F.col("depth") <= max_steps)
-        reached = cut_lineage(first_seen(reached.unionByName(ahead), order=["depth", "ord"]))
-        grown = reached.count()
-        if grown == count:
-            return reached
-        count = grown
-        onward = jumps.select(
-            "site", F.col("from_url").alias("url"), F.col("url").alias("_to"), F.col("_len").alias("_more")
-        )
-        jumps = jumps.join(onward, ["site", "url"]).select(
-            "site", "from_url", F.col("_to").alias("url"), (F.col("_len") + F.col("_more")).alias("_len")
-        )
+        # Everything nearer than ``length`` is known already, so only pages without a depth are new.
+        fresh = first_seen(ahead, order=["depth", "ord"]).join(reached.select("site", "url"), ["site", "url"], "left_anti")
+        fresh = cut_lineage(fresh.select(*columns))
+        if fresh.isEmpty():
+            break
+        reached = reached.unionByName(fresh)
+        onward = jumps.select("site", F.col("from_url").alias("url"), F.col("url").alias("_to"))
+        jumps = jumps.join(onward, ["site", "url"]).select("site", "from_url", F.col("_to").alias("url"))
+        length *= 2
+    return reached
 
 
 def reachable(
