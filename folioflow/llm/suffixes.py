@@ -8,13 +8,13 @@ followed by what the windows need from its left.
 
 1. Anchors that occur in several rows are found by exchanging sorted runs of their hashes;
    a filter of ``FILTER_BITS`` bits carries them to the tasks (a false hit costs work only).
-2. Each task sorts the entries of such anchors into runs, equal ones once with their least
-   and largest id, and writes the runs front-coded by bucket.
+2. Each task sorts the entries of such anchors into runs, equal ones once with the rows they
+   occur in, and sends the runs front-coded by bucket.
 3. Buckets are merged by loser trees that keep, for each run, the prefix it has in common
    with the last entry taken: the longer prefix wins without a comparison, and bytes known
    to be equal are not looked at again. The same numbers show where an anchor's entries end.
    Entries of one anchor are compared window by window, which gives each window its least id.
-4. Runs turn the answers into byte ranges of their documents; a join by document cuts them.
+4. The answers become byte ranges of the documents of each run; a join by document cuts them.
 
 An anchor in more than ``HOT_ROWS`` rows would fill one bucket: its windows are entries of
 their own, bucketed by all their bytes. Runs hold an entry once, so a passage that very many
@@ -28,6 +28,7 @@ read, other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -38,13 +39,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from folioflow.llm.common import ship, slices, whole
-from folioflow.session import cut_lineage
 
 LENGTH, GRAM = 50, 20
 SPAN = LENGTH - GRAM + 1  # anchors to choose from in a window
-FILTER_BITS, PROBES = 1 << 28, 2
+FILTER_BITS, PROBES = 1 << 27, 2
 HOT_ROWS = 50_000
-SLICE_BYTES, RUN_BYTES = 2 << 20, 16 << 20
+SLICE_BYTES, RUN_BYTES = 1 << 20, 8 << 20
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _KEPT = _U(0xFFFFFFFFFFFF0000)  # six bytes of a hash are exchanged
@@ -213,6 +213,16 @@ def shared_anchors(rows: DataFrame, buckets: int, bits: int, hot_rows: int) -> t
     return filters[0], filters[1]
 
 
+def _packed(values: np.ndarray | bytes) -> bytes:
+    data = values if isinstance(values, bytes) else values.tobytes()
+    return len(data).to_bytes(4, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _unpacked(blob: bytes, kind=None):
+    data = pa.decompress(blob[4:], int.from_bytes(blob[:4], "little"), codec="zstd", asbytes=True)
+    return data if kind is None else np.frombuffer(data, kind)
+
+
 def front_code(entries: list[bytes]) -> tuple[bytes, bytes, bytes]:
     """Sorted entries as common prefix lengths, rest lengths and compressed rests."""
     sizes = np.array([len(e) for e in entries])
@@ -221,15 +231,14 @@ def front_code(entries: list[bytes]) -> tuple[bytes, bytes, bytes]:
     common = np.where(differ.any(1), differ.argmax(1), 128)
     common = np.concatenate(([0], np.minimum(np.minimum(common, sizes[1:]), sizes[:-1])))
     rests = b"".join(e[c:] for e, c in zip(entries, common.tolist(), strict=True))
-    packed = len(rests).to_bytes(4, "little") + pa.compress(rests, codec="zstd", asbytes=True)
-    return common.astype(np.uint8).tobytes(), (sizes - common).astype(np.uint8).tobytes(), packed
+    return _packed(common.astype(np.uint8)), _packed((sizes - common).astype(np.uint8)), _packed(rests)
 
 
 def decode(common: bytes, sizes: bytes, packed: bytes) -> Iterator[tuple[bytes, int]]:
     """Entries of a run, each with the length it has in common with the one before."""
-    rests = pa.decompress(packed[4:], int.from_bytes(packed[:4], "little"), codec="zstd", asbytes=True)
+    rests = _unpacked(packed)
     entry, at = b"", 0
-    for c, n in zip(common, sizes, strict=True):
+    for c, n in zip(_unpacked(common), _unpacked(sizes), strict=True):
         entry = entry[:c] + rests[at : at + n]
         at += n
         yield entry, c
@@ -328,84 +337,85 @@ def _answers(group: list[Entry]) -> Iterator[tuple[int, int, int, int, int]]:
                 start = i
 
 
+_COLUMNS = ["bucket", "common", "sizes", "rests", "counts", "rows", "starts", "docs", "keys"]
+_KINDS = [pa.int32(), *[pa.binary()] * 8]
+RUN_SCHEMA = "bucket int, " + ", ".join(f"{c} binary" for c in _COLUMNS[1:])
+
+
+class _Run:
+    """Entries of one run by bucket, and the rows they stand in."""
+
+    def __init__(self, buckets: int) -> None:
+        self.entries: list[dict[bytes, list[int]]] = [{} for _ in range(buckets)]
+        self.row, self.start = array("q"), array("q")  # of each occurrence
+        self.docs: list[np.ndarray] = []
+        self.keys: list[np.ndarray] = []
+        self.n_rows = self.size = 0
+
+    def add(self, data: np.ndarray, found: tuple[np.ndarray, ...], alone: np.ndarray, lengths: np.ndarray, part: pa.RecordBatch) -> None:
+        first, last, anchor, hashes, owner = found
+        buckets, base, raw = len(self.entries), len(self.row), data.tobytes()
+        self.row.extend((owner + self.n_rows).tolist())
+        self.start.extend((first - (np.cumsum(lengths) - lengths)[owner]).tolist())
+        where = _bucket_of(hashes, buckets).tolist()
+        spots = zip(first.tolist(), last.tolist(), anchor.tolist(), where, alone.tolist(), strict=True)
+        for i, (s, e, p, b, w) in enumerate(spots, base):
+            entry = raw[p : e + LENGTH] + raw[s:p] + bytes((p - s,))
+            if w:
+                b = int(_bucket_of(np.array([hash_bytes(entry)], _U), buckets)[0])
+            self.entries[b].setdefault(entry, []).append(i)
+        self.docs.append(part.column("id").to_numpy())
+        self.keys.append(part.column("key").to_numpy())
+        self.n_rows += part.num_rows
+        self.size += len(data)
+
+    def batch(self) -> pa.RecordBatch:
+        """One row per bucket: its entries, and the rows and places they occur at."""
+        row, start = np.array(self.row, np.int64), np.array(self.start, np.int64)
+        docs, keys = np.concatenate(self.docs), np.concatenate(self.keys)
+        lines = []
+        for b, entries in enumerate(self.entries):
+            if not entries:
+                continue
+            order = sorted(entries)
+            places = [entries[e] for e in order]
+            counts = np.array([len(p) for p in places], np.uint32)
+            flat = np.fromiter((i for p in places for i in p), np.int64, int(counts.sum()))
+            used, rows = np.unique(row[flat], return_inverse=True)
+            numbers = (counts, rows.astype(np.uint32), start[flat].astype(np.uint32), docs[used], keys[used])
+            lines.append((b, *front_code(order), *map(_packed, numbers)))
+        columns = zip(*lines, strict=True) if lines else [[] for _ in _COLUMNS]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _KINDS, strict=True)], _COLUMNS)
+
+
 def _write_runs(rows: DataFrame, filters, buckets: int) -> DataFrame:
     """Sorted runs of the entries of shared anchors: one row per run and bucket."""
 
     def runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared, hot = filters.value
-        any_hot = bool(hot.any())
-        held: list[dict[bytes, list[int]]] = [{} for _ in range(buckets)]
-        docs: list[int] = []
-        keys: list[int] = []
-        starts: list[int] = []
-        size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            doc, key, start = (np.array(x, np.int64) for x in (docs, keys, starts))
-            out: list[list] = [[] for _ in range(10)]
-            for b, entries in enumerate(held):
-                if not entries:
-                    continue
-                order = sorted(entries)
-                places = [entries[e] for e in order]
-                counts = np.array([len(p) for p in places], np.uint32)
-                flat = np.fromiter((i for p in places for i in p), np.int64, int(counts.sum()))
-                heads = np.cumsum(counts, dtype=np.int64) - counts
-                row = (
-                    b,
-                    *front_code(order),
-                    np.minimum.reduceat(doc[flat], heads).tobytes(),
-                    np.maximum.reduceat(doc[flat], heads).tobytes(),
-                    counts.tobytes(),
-                    doc[flat].tobytes(),
-                    key[flat].tobytes(),
-                    start[flat].astype(np.int32).tobytes(),
-                )
-                for column, value in zip(out, row, strict=True):
-                    column.append(value)
-            kinds = [pa.int32(), *[pa.binary()] * 9]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], RUN_COLUMNS)
-
+        run = _Run(buckets)
         for data, lengths, part in _pieces(batches):
-            first, last, anchor, hashes, owner = find_entries(data, lengths)
-            keep = np.flatnonzero(_in_filter(shared, hashes, buckets))
-            first, last, anchor, hashes, owner = (x[keep] for x in (first, last, anchor, hashes, owner))
-            if any_hot and len(keep):
+            found = find_entries(data, lengths)
+            keep = np.flatnonzero(_in_filter(shared, found[3], buckets))
+            first, last, anchor, hashes, owner = (x[keep] for x in found)
+            alone = np.zeros(len(first), bool)
+            if hot is not None:
                 # Entries of hot anchors are cut into their windows.
-                n = np.where(_in_filter(hot, hashes, buckets), last - first + 1, 1)
+                alone = _in_filter(hot, hashes, buckets)
+                n = np.where(alone, last - first + 1, 1)
                 again = np.repeat(np.arange(len(n)), n)
                 step = np.arange(len(again)) - np.repeat(np.cumsum(n) - n, n)
-                alone = n[again] > 1
-                first, last, anchor, hashes, owner = (x[again] for x in (first, last, anchor, hashes, owner))
+                first, last, anchor, hashes, owner, alone = (x[again] for x in (first, last, anchor, hashes, owner, alone))
                 first = first + step
                 last = np.where(alone, first, last)
-            else:
-                alone = np.zeros(len(first), bool)
-            row_start = (np.cumsum(lengths) - lengths)[owner]
-            base = len(docs)
-            docs.extend(part.column("id").to_numpy()[owner].tolist())
-            keys.extend(part.column("key").to_numpy()[owner].tolist())
-            starts.extend((first - row_start).tolist())
-            raw = data.tobytes()
-            where = _bucket_of(hashes, buckets).tolist()
-            for i, (s, e, p, b, w) in enumerate(zip(first.tolist(), last.tolist(), anchor.tolist(), where, alone.tolist(), strict=True), base):
-                entry = raw[p : e + LENGTH] + raw[s:p] + bytes((p - s,))
-                if w:
-                    b = int(_bucket_of(np.array([hash_bytes(entry)], _U), buckets)[0])
-                held[b].setdefault(entry, []).append(i)
-            size += len(data)
-            if size >= RUN_BYTES:
-                if docs:
-                    yield from flush()
-                held, size = [{} for _ in range(buckets)], 0
-                docs.clear(), keys.clear(), starts.clear()
-        if docs:
-            yield from flush()
-
-    return rows.mapInArrow(runs, "bucket int, " + ", ".join(f"{c} binary" for c in RUN_COLUMNS[1:]))
-
+            run.add(data, (first, last, anchor, hashes, owner), alone, lengths, part)
+            if run.size >= RUN_BYTES:
+                yield run.batch()
+                run = _Run(buckets)
+        if run.size:
+            yield run.batch()
 
-RUN_COLUMNS = ["bucket", "common", "sizes", "rests", "least", "largest", "counts", "docs", "keys", "starts"]
+    return rows.mapInArrow(runs, RUN_SCHEMA)
 
 
 def hash_bytes(entry: bytes) -> int:
@@ -415,21 +425,24 @@ def hash_bytes(entry: bytes) -> int:
 
 
 def _merge_bucket(table: pa.Table) -> pa.Table:
-    """Answers of one bucket, by run."""
-    names = [table.column(c).to_pylist() for c in ("run", "common", "sizes", "rests", "least", "largest")]
-    ids, common, sizes, rests, least, largest = names
-    low = [np.frombuffer(x, np.int64).tolist() for x in least]
-    high = [np.frombuffer(x, np.int64).tolist() for x in largest]
-    place = [-1] * len(ids)
-    out: list[list[tuple[int, int, int, int]]] = [[] for _ in ids]
+    """Runs of one bucket to merged byte ranges (start << 32 | end) of their rows."""
+    lines = table.to_pylist()
+    counts = [_unpacked(x["counts"], np.uint32).astype(np.int64) for x in lines]
+    heads = [np.cumsum(n) - n for n in counts]
+    rows = [_unpacked(x["rows"], np.uint32).astype(np.int64) for x in lines]
+    docs = [_unpacked(x["docs"], np.int64) for x in lines]
+    ids = [d[r] for d, r in zip(docs, rows, strict=True)]
+    low, high = ([f.reduceat(i, h).tolist() for i, h in zip(ids, heads, strict=True)] for f in (np.minimum, np.maximum))
+    place = [-1] * len(lines)
+    out: list[array] = [array("q") for _ in lines]
     group: list[Entry] = []
 
     def close() -> None:
         for run, at, i, j, doc in _answers(group):
-            out[run].append((at, i, j, doc))
+            out[run].extend((at, i, j, doc))
         group.clear()
 
-    for entry, run, known in merge_runs([decode(*x) for x in zip(common, sizes, rests, strict=True)]):
+    for entry, run, known in merge_runs([decode(x["common"], x["sizes"], x["rests"]) for x in lines]):
         at = place[run] = place[run] + 1
         holder = (run, at, low[run][at], high[run][at])
         if group and known == len(entry) == len(group[-1][0]):
@@ -439,37 +452,36 @@ def _merge_bucket(table: pa.Table) -> pa.Table:
                 close()
             group.append((entry, [holder]))
     close()
-    used = [r for r, x in enumerate(out) if x]
-    each = [np.array(out[r], np.int64).T for r in used]
-    return pa.table(
-        {
-            "run": pa.array([ids[r] for r in used], pa.int64()),
-            "at": pa.array([x[0].astype(np.uint32).tobytes() for x in each], pa.binary()),
-            "first": pa.array([x[1].astype(np.uint8).tobytes() for x in each], pa.binary()),
-            "last": pa.array([x[2].astype(np.uint8).tobytes() for x in each], pa.binary()),
-            "doc": pa.array([x[3].tobytes() for x in each], pa.binary()),
-        }
-    )
-
-
-def _ranges(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs with their answers to byte ranges ``(id, key, range)``; a range is start << 32 | end."""
-    columns = [("at", np.uint32), ("first", np.uint8), ("last", np.uint8), ("doc", np.int64), ("counts", np.uint32)]
-    columns += [("docs", np.int64), ("keys", np.int64), ("starts", np.int32)]
-    for batch in batches:
-        for blobs in zip(*(batch.column(c).to_pylist() for c, _ in columns), strict=True):
-            at, first, last, doc, counts, docs, keys, starts = (
-                np.frombuffer(b, kind) for b, (_, kind) in zip(blobs, columns, strict=True)
-            )
-            heads = np.cumsum(counts, dtype=np.int64) - counts
-            n = counts[at].astype(np.int64)
-            again = np.repeat(np.arange(len(at)), n)
-            spot = heads[at][again] + np.arange(len(again)) - np.repeat(np.cumsum(n) - n, n)
-            cut = docs[spot] > doc[again]
-            spot, again = spot[cut].astype(np.int64), again[cut]
-            start = starts[spot].astype(np.int64)
-            span = ((start + first[again]) << 32) | (start + last[again] + LENGTH)
-            yield pa.RecordBatch.from_arrays([pa.array(docs[spot]), pa.array(keys[spot]), pa.array(span)], ["id", "key", "span"])
+    made = [pa.table({"id": pa.array([], pa.int64()), "key": pa.array([], pa.int64()), "spans": pa.array([], pa.list_(pa.int64()))})]
+    for run, line in enumerate(lines):
+        if not out[run]:
+            continue
+        at, first, last, doc = np.array(out[run], np.int64).reshape(-1, 4).T
+        n = counts[run][at]
+        again = np.repeat(np.arange(len(at)), n)
+        spot = heads[run][at][again] + np.arange(len(again)) - np.repeat(np.cumsum(n) - n, n)
+        cut = ids[run][spot] > doc[again]
+        spot, again = spot[cut], again[cut]
+        row, start = rows[run][spot], _unpacked(line["starts"], np.uint32).astype(np.int64)[spot]
+        row, spans, cuts = _merged(row, start + first[again], start + last[again] + LENGTH)
+        keys = _unpacked(line["keys"], np.int64)
+        lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(spans, pa.int64()))
+        made.append(pa.table({"id": pa.array(docs[run][row]), "key": pa.array(keys[row]), "spans": lists}))
+    return pa.concat_tables(made)
+
+
+def _merged(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Overlapping ranges of each row made one: the rows, ``start << 32 | end``, and where each row's begin."""
+    # Rows follow each other on one line, so all of them are merged at once.
+    order = np.argsort((row << 32) + start, kind="stable")
+    start = ((row << 32) + start)[order]
+    end = np.maximum.accumulate(((row << 32) + end)[order])
+    new = np.concatenate(([True], start[1:] > end[:-1]))
+    last = np.concatenate((np.flatnonzero(new)[1:] - 1, [len(end) - 1]))
+    start, end = start[new], end[last]
+    rows, heads = np.unique(start >> 32, return_index=True)
+    spans = ((start & 0xFFFFFFFF) << 32) | (end & 0xFFFFFFFF)
+    return rows, spans, np.concatenate((heads, [len(spans)]))
 
 
 def cut_text(data: bytes, spans: list[int] | None) -> tuple[bytes, list[tuple[int, int]]]:
@@ -497,13 +509,12 @@ def remove_repeats(
     buckets = 1 << max(5, (2 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length() - 1)
     buckets = min(buckets, bits // 512)
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(whole(text)).alias("key"), whole(text).alias("text"))
-    filters = spark.sparkContext.broadcast(shared_anchors(rows.select("id", "text"), buckets, bits, hot_rows))
-    runs = cut_lineage(_write_runs(rows, filters, buckets).withColumn("run", F.monotonically_increasing_id()))
-    merged = runs.select("bucket", "run", *RUN_COLUMNS[1:6]).groupBy("bucket")
-    merged = merged.applyInArrow(_merge_bucket, "run long, at binary, first binary, last binary, doc binary")
-    answered = merged.join(runs.select("run", *RUN_COLUMNS[6:]), "run")
-    spans = answered.select("at", "first", "last", "doc", "counts", "docs", "keys", "starts").mapInArrow(_ranges, "id long, key long, span long")
-    spans = spans.groupBy("id", "key").agg(F.collect_list("span").alias("spans"))  # ranges of one text
+    shared, hot = shared_anchors(rows.select("id", "text"), buckets, bits, hot_rows)
+    filters = spark.sparkContext.broadcast((shared, hot if hot.any() else None))
+    runs = _write_runs(rows, filters, buckets)
+    spans = runs.groupBy("bucket").applyInArrow(_merge_bucket, "id long, key long, spans array<long>")
+    # A text has ranges from many buckets; equal rows may stand in several runs.
+    spans = spans.groupBy("id", "key").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
     @arrow_udf("struct<kept:binary,removed:array<struct<start:int,end:int>>>")
     def cut(texts: pa.Array, ranges: pa.Array) -> pa.Array:

@@ -91,7 +91,7 @@ def test_filter_never_lowers_a_count(spark):
     assert (lm.lookup(filter_, keys, buckets) >= want).all()
     missing = lm.lookup(filter_, lm.mixed(np.arange(10_000, 20_000, dtype=np.uint64), 9), buckets)
     assert (missing > 0).mean() < 0.02
-    assert lm._least_levels([[0, 100, 0], [0, 10_000, 10]], 8000) == (1, 3)
+    assert lm._least_levels([[0, 100, 0], [0, 10_000, 10]], 8000) == (1, 2)
 
 
 def test_no_training_rows_and_empty(spark):
