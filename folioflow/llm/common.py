@@ -13,6 +13,7 @@ from folioflow.session import cut_lineage, ship_package
 
 #: Words are runs of anything but ASCII white space (Java and Python syntax).
 WORD = r"[^\x20\x09-\x0D]+"
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -44,8 +45,15 @@ def row_key(df: DataFrame) -> DataFrame:
 
 
 def ship(df: DataFrame) -> None:
-    """Make this package importable on the executors before a Python stage."""
-    ship_package(df.sparkSession)
+    """Make this package importable on the executors before a Python stage.
+
+    Texts are large rows: a session that leaves the number of rows per Arrow batch at
+    Spark's default gets a smaller one, so that a worker holds a few megabytes at a time.
+    """
+    spark = df.sparkSession
+    ship_package(spark)
+    if spark.conf.get(ARROW_ROWS) == "10000":
+        spark.conf.set(ARROW_ROWS, "1000")
 
 
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:

@@ -296,13 +296,6 @@ def merge_runs(runs: list[Iterator[tuple[bytes, int]]]) -> Iterator[tuple[bytes,
             node //= 2
 
 
-def _windows(entry: bytes) -> list[bytes]:
-    """The windows of an entry, leftmost first; the last byte tells how much stands left of the anchor."""
-    left = entry[-1]
-    text = entry[len(entry) - 1 - left : -1] + entry[: len(entry) - 1 - left]
-    return [text[i : i + LENGTH] for i in range(len(text) - LENGTH + 1)]
-
-
 Entry = tuple[bytes, list[tuple[int, int, int, int]]]
 
 
@@ -319,21 +312,29 @@ def _answers(group: list[Entry]) -> Iterator[tuple[int, int, int, int, int]]:
             if largest > least:
                 yield run, place, 0, last, least
         return
-    owner: dict[bytes, int] = {}
-    cut = [_windows(entry) for entry, _ in group]
-    for windows, (_, holders) in zip(cut, group, strict=True):
-        least = min(h[2] for h in holders)
-        for w in windows:
-            if owner.get(w, least) >= least:
-                owner[w] = least
-    for windows, (_, holders) in zip(cut, group, strict=True):
-        ids = [owner[w] for w in windows]
+    # Equal windows have their anchor at the same place: one place after the other is looked at.
+    # The last byte of an entry tells how much of it stands left of the anchor.
+    least = [min(h[2] for h in holders) for _, holders in group]
+    ids = [array("q", bytes(8 * (len(entry) - LENGTH))) for entry, _ in group]
+    for left in range(SPAN):
+        owner: dict[bytes, int] = {}
+        at = []
+        for k, (entry, _) in enumerate(group):
+            i = entry[-1] - left
+            if 0 <= i < len(ids[k]):
+                window = entry[len(entry) - 1 - left : -1] + entry[: LENGTH - left]
+                at.append((k, i, window))
+                if owner.get(window, least[k]) >= least[k]:
+                    owner[window] = least[k]
+        for k, i, window in at:
+            ids[k][i] = owner[window]
+    for own, (_, holders) in zip(ids, group, strict=True):
         start = 0
-        for i in range(1, len(ids) + 1):
-            if i == len(ids) or ids[i] != ids[start]:
+        for i in range(1, len(own) + 1):
+            if i == len(own) or own[i] != own[start]:
                 for run, place, _, largest in holders:
-                    if largest > ids[start]:
-                        yield run, place, start, i - 1, ids[start]
+                    if largest > own[start]:
+                        yield run, place, start, i - 1, own[start]
                 start = i
 
 
@@ -506,7 +507,7 @@ def remove_repeats(
     """``doc_id``, ``n_bytes``, ``kept`` (bytes that stay) and ``removed`` (byte ranges) of every row."""
     ship(docs)
     spark = docs.sparkSession
-    buckets = 1 << max(5, (2 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length() - 1)
+    buckets = 1 << max(5, (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length() - 1)
     buckets = min(buckets, bits // 512)
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(whole(text)).alias("key"), whole(text).alias("text"))
     shared, hot = shared_anchors(rows.select("id", "text"), buckets, bits, hot_rows)
