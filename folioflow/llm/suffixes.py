@@ -102,7 +102,8 @@ def find_entries(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...
     stop[:-1] = (anchor[1:] != anchor[:-1]) | ~inside[1:]
     last = np.flatnonzero(stop & inside)
     at = anchor[first]
-    return first, last, at, hashes[at], np.searchsorted(ends, first, "right")
+    # Anchors have small hashes by choice: mixed again, they spread over all buckets.
+    return first, last, at, _scrambled(hashes[at], 3), np.searchsorted(ends, first, "right")
 
 
 def _bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
