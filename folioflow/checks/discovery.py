@@ -98,7 +98,8 @@ def q_first_seen(spark: SparkSession, d: str) -> DataFrame:
 @check(
     f"""
     WITH {_NAV_SQL}
-    SELECT site, url, arg_min(from_url, (from_url, pos)) AS from_url, min(pos) AS pos, arg_min(listing_category, (from_url, pos)) AS listing_category
+    SELECT site, url, arg_min(from_url, (page_id, from_url, pos)) AS from_url, arg_min(pos, (page_id, from_url, pos)) AS pos,
+           arg_min(listing_category, (page_id, from_url, pos)) AS listing_category
     FROM (SELECT *, CASE WHEN site = 'com' THEN '' ELSE from_url END AS page, CASE WHEN site = 'org' THEN pos ELSE -1 END AS place FROM nav)
     GROUP BY site, url, page, place
     """
