@@ -3,14 +3,15 @@
 Training counts words and pairs of neighbouring words. A count ``c`` is quantised to the
 level ``1 + floor(log_base c)``, and the filter holds an n-gram once for each level up to
 its own; a lookup probes level after level until one is missing, so an error never lowers
-a count. The filter has a fixed number of bits, is cut into segments by hash, and each
-segment is built by the task that has the final counts of its n-grams. Workers get the
-filter by broadcast (``FILTER_BITS / 8`` bytes) and score whole texts with it.
+a count. The filter has ``FILL_BITS`` bits for each entry counted (``FILTER_BITS`` at least),
+so it grows with the corpus and keeps every n-gram. It is cut into segments by hash, and each
+segment is built by the task that has the final counts of its n-grams. Workers get it by
+broadcast; a filter above ``PART_BITS`` is sent in parts of whole segments one after another,
+and the levels found so far travel with the texts (two bytes per token).
 
 Counting: each slice of a partition sends its sorted distinct hashes with counts, cut by
-hash into buckets, so a word costs one entry per slice however frequent it is. Pairs seen
-once are not kept (``PAIR_CUTOFF``); if the filter would still get fuller than it may, the
-least count kept grows until the entries fit.
+hash into buckets, so a word costs one entry per slice however frequent it is. Only a caller
+who fixes ``bits`` loses n-grams: the least count level kept then grows until the entries fit.
 
 The base score needs exact counts. Words of the upper count levels, ``MAX_TABLE`` at most,
 are broadcast with their counts; tokens of other words are joined with the full counts.
@@ -35,7 +36,9 @@ from folioflow.llm.common import ship, slices
 from folioflow.session import cut_lineage
 
 FILTER_BITS, PROBES, BASE, FILL_BITS = 1 << 28, 3, 1.5, 8
-PAIR_CUTOFF, MAX_TABLE = 2, 2_000_000
+#: Bits of the filter that one broadcast takes at most.
+PART_BITS = 1 << 29
+PAIR_CUTOFF, MAX_TABLE = 1, 2_000_000
 LEVELS = 1 + int(math.log(2**40, BASE))
 SLICE_BYTES = 4 << 20
 MIX = 0.7
@@ -136,9 +139,22 @@ def _places(keys: np.ndarray, levels: np.ndarray, buckets: int, bits: int) -> li
     return [base + ((x + _U(i) * step) % _U(size)).astype(np.int64) for i in range(PROBES)]
 
 
-def build_filter(counts: DataFrame, least: tuple[int, int], buckets: int, bits: int) -> np.ndarray:
-    """The filter's bytes. Each task fills whole segments; the driver joins ``bits / 8`` bytes."""
-    size = bits // buckets
+def filter_bits(held: list[list[int]], buckets: int) -> int:
+    """Bits that hold all counted (n-gram, level) entries, in whole bytes per segment."""
+    entries = sum(q * n for levels in held for q, n in enumerate(levels))
+    return buckets * 8 * -(-max(FILTER_BITS, FILL_BITS * entries) // (8 * buckets))
+
+
+def build_filter(
+    counts: DataFrame, least: tuple[int, int], buckets: int, bits: int, first: int = 0, width: int | None = None
+) -> np.ndarray:
+    """The bytes of ``width`` segments from ``first`` on (of all by default), joined on the driver.
+
+    Each task fills whole segments; ``bits`` is the size of all of them.
+    """
+    size, width = bits // buckets, buckets if width is None else width
+    if width < buckets:
+        counts = counts.filter(F.col("bucket").between(first, first + width - 1))
 
     def fill(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
@@ -152,24 +168,52 @@ def build_filter(counts: DataFrame, least: tuple[int, int], buckets: int, bits:
                     segment[place - bucket * size] = True
         return pa.table({"bucket": pa.array([bucket], pa.int32()), "bits": pa.array([np.packbits(segment).tobytes()], pa.binary())})
 
-    out = np.zeros(bits // 8, np.uint8)
+    out = np.zeros(width * size // 8, np.uint8)
     for bucket, part in counts.groupBy("bucket").applyInArrow(fill, "bucket int, bits binary").collect():
-        out[bucket * size // 8 : (bucket + 1) * size // 8] = np.frombuffer(part, np.uint8)
+        at = (bucket - first) * size // 8
+        out[at : at + size // 8] = np.frombuffer(part, np.uint8)
     return out
 
 
-def lookup(filter_: np.ndarray, keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Estimated counts (0 where nothing is stored) by repeated membership probes."""
-    found, alive, q = np.zeros(len(keys), np.int64), np.arange(len(keys)), 1
+def found_levels(part: np.ndarray, keys: np.ndarray, buckets: int, first: int, width: int) -> np.ndarray:
+    """Levels by repeated membership probes; 0 where nothing is stored or the segment is not in ``part``."""
+    size, own = 8 * len(part) // width, bucket_of(keys, buckets)
+    found, alive, q = np.zeros(len(keys), np.uint8), np.flatnonzero((own >= first) & (own < first + width)), 1
     while len(alive) and q <= LEVELS:
         here = keys[alive]
         held = np.ones(len(alive), bool)
-        for place in _places(here, np.full(len(alive), q), buckets, 8 * len(filter_)):
-            held &= (filter_[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
+        for place in _places(here, np.full(len(alive), q), buckets, size * buckets):
+            place = place - first * size
+            held &= (part[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
         alive = alive[held]
         found[alive] = q
         q += 1
-    return np.where(found > 0, (BASE ** (found - 1.0) + BASE**found) / 2, 0.0)
+    return found
+
+
+def estimate(levels: np.ndarray) -> np.ndarray:
+    """The count a level stands for."""
+    return np.where(levels > 0, (BASE ** (levels - 1.0) + BASE ** levels.astype(float)) / 2, 0.0)
+
+
+def lookup(filter_: np.ndarray, keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Estimated counts, 0 where nothing is stored, from a whole filter."""
+    return estimate(found_levels(filter_, keys, buckets, 0, buckets))
+
+
+def _probe(part: np.ndarray, flat: np.ndarray, lengths: np.ndarray, known: list, buckets: int, first: int, width: int):
+    """Levels of each token and of each pair: those in ``part``, and those ``known`` per text from other parts."""
+    out = []
+    for keys in (flat, pairs_of(flat, lengths)):
+        once, back = np.unique(keys, return_inverse=True)
+        out.append(found_levels(part, once, buckets, first, width)[back])
+    if known and known[0] is not None:
+        ends = np.cumsum(lengths)
+        for k, (start, end) in enumerate(zip(ends - lengths, ends, strict=True)):
+            old = np.frombuffer(known[k], np.uint8).reshape(2, -1)
+            for new, of in zip(out, old, strict=True):
+                new[start:end] = np.maximum(new[start:end], of)
+    return out
 
 
 def _least_levels(held: list[list[int]], bits: int) -> tuple[int, int]:
@@ -182,22 +226,45 @@ def _least_levels(held: list[list[int]], bits: int) -> tuple[int, int]:
     return least[0], least[1]
 
 
+def _add_levels(texts: DataFrame, part: np.ndarray, buckets: int, first: int, width: int) -> DataFrame:
+    """``texts(doc_id, text, levels)`` with the levels that ``part`` holds, as a written table."""
+    shared = texts.sparkSession.sparkContext.broadcast(part)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in slices(batch, "text", SLICE_BYTES):
+                flat, lengths = tokens(rows.column("text").to_pylist())
+                single, both = _probe(shared.value, flat, lengths, rows.column("levels").to_pylist(), buckets, first, width)
+                ends = np.cumsum(lengths)
+                held = [single[i:j].tobytes() + both[i:j].tobytes() for i, j in zip(ends - lengths, ends, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("doc_id"), rows.column("text"), pa.array(held, pa.binary())], ["doc_id", "text", "levels"]
+                )
+
+    out = cut_lineage(texts.mapInArrow(run, "doc_id long, text string, levels binary"))
+    shared.destroy()
+    return out
+
+
 def score_texts(
     docs: DataFrame,
     training: Column,
     text: str = "text",
     doc_id: str = "doc_id",
-    bits: int = FILTER_BITS,
+    bits: int | None = None,
     max_table: int = MAX_TABLE,
+    part_bits: int = PART_BITS,
 ) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` of every row.
 
-    Rows where ``training`` holds are counted.
+    Rows where ``training`` holds are counted. The filter is as large as its entries need
+    unless ``bits`` fixes its size.
     """
     ship(docs)
     spark = docs.sparkSession
     buckets = 1 << max(5, (2 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length() - 1)
-    buckets = min(buckets, bits // 512)
+    if bits:
+        buckets = min(buckets, bits // 512)
     counts = cut_lineage(count_ngrams(docs.filter(training), text, buckets))
     sums = counts.groupBy("kind").agg(
         F.sum("n").alias("n"), F.sum("total").alias("total"), *[F.sum(F.get("held", F.lit(q))).alias(f"h{q}") for q in range(LEVELS + 1)]
@@ -205,7 +272,9 @@ def score_texts(
     by_kind = {r["kind"]: r for r in sums.collect()}
     held = [[by_kind[k][f"h{q}"] if k in by_kind else 0 for q in range(LEVELS + 1)] for k in (0, 1)]
     total, distinct = (by_kind[0]["total"], by_kind[0]["n"]) if 0 in by_kind else (0, 0)
-    filter_ = build_filter(counts, _least_levels(held, bits), buckets, bits)
+    least = _least_levels(held, bits) if bits else (1, 1)
+    bits = bits or filter_bits(held, buckets)
+    width = min(buckets, max(1, part_bits * buckets // bits))
 
     # Levels from the top down whose words fit the table; `rest` levels are joined.
     rest = LEVELS
@@ -226,8 +295,14 @@ def score_texts(
     table = rows(True).toArrow()  # at most max_table rows
     known_keys = table.column("h").to_numpy().view(_U)
     order = np.argsort(known_keys)
-    shared = spark.sparkContext.broadcast((filter_, known_keys[order], table.column("c").to_numpy()[order]))
     denominator = math.log10(total + distinct + 1)
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.lit(None).cast("binary").alias("levels"))
+    for first in range(0, buckets - width, width):  # all parts but the last
+        texts = _add_levels(texts, build_filter(counts, least, buckets, bits, first, width), buckets, first, width)
+    first = (buckets - 1) // width * width
+    width = buckets - first
+    filter_ = build_filter(counts, least, buckets, bits, first, width)
+    shared = spark.sparkContext.broadcast((filter_, known_keys[order], table.column("c").to_numpy()[order]))
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bloom, keys, known = shared.value
@@ -240,11 +315,9 @@ def score_texts(
                 once, back = np.unique(flat, return_inverse=True)
                 at = np.minimum(np.searchsorted(keys, once), max(0, len(keys) - 1))
                 exact = np.where(keys[at] == once, known[at], 0) if len(keys) else np.zeros(len(once), np.int64)
-                word = lookup(bloom, once, buckets)
-                pair, pair_back = np.unique(pairs_of(flat, lengths), return_inverse=True)
-                both = lookup(bloom, pair, buckets)[pair_back]
-                single = word[back]
-                before = np.concatenate(([lookup(bloom, np.array([END], _U), buckets)[0]], single[:-1]))
+                stored = part.column("levels").to_pylist()
+                single, both = map(estimate, _probe(bloom, flat, lengths, stored, buckets, first, width))
+                before = np.concatenate((single[-1:], single[:-1]))  # every text ends with END
                 floor = (single + 1) / (total + distinct + 1)
                 follow = np.where(before > 0, np.minimum(both / np.maximum(before, 1e-9), 1.0), 0.0)
                 chance = np.where(before > 0, MIX * follow + (1 - MIX) * floor, floor)
@@ -266,7 +339,7 @@ def score_texts(
                 )
 
     schema = "doc_id long, n_tokens long, n_known long, base_score double, score double, open array<long>"
-    scored = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(score, schema)
+    scored = texts.mapInArrow(score, schema)
     final = ["doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"]
     if not rest:
         return scored.select(*final)

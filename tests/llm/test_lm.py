@@ -99,3 +99,31 @@ def test_no_training_rows_and_empty(spark):
     got = {r.doc_id: tuple(r)[1:] for r in lm.score_texts(docs, docs["doc_id"] < 0, bits=1 << 16).collect()}
     assert got == {1: (3, 0, 0, 0.0, 0.0), 2: (1, 0, 0, 0.0, 0.0)}
     assert lm.score_texts(docs.limit(0), docs["doc_id"] > 0, bits=1 << 16).count() == 0
+
+
+@pytest.mark.parametrize("part_bits", [1 << 40, 1 << 17])
+def test_filter_grows_with_the_entries(spark, monkeypatch, part_bits):
+    """More pairs seen once than a filter of the least size holds: none is lost, in one part or in many."""
+    monkeypatch.setattr(lm, "FILTER_BITS", 1 << 14)
+    values = [" ".join(f"w{(i * 7919 + k * (i + 3)) % 4001}" for k in range(60)) for i in range(400)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate([*values, None])], DOCS)
+    got = {r.doc_id: r.score for r in lm.score_texts(docs, docs["doc_id"] >= 0, part_bits=part_bits).collect()}
+    single, pair = Counter(), Counter()
+    for t in [*values, None]:
+        w = words(t)
+        single.update(w)
+        pair.update(zip([None, *w], w, strict=False))
+    total, n = sum(single.values()), len(single)
+    worth = lambda c: (lm.BASE ** (q := math.floor(math.log(c) / math.log(lm.BASE) + 1e-9)) + lm.BASE ** (q + 1)) / 2
+    for i, t in enumerate([*values, None]):
+        steps = list(zip([None, *words(t)], words(t), strict=False))
+        terms = [lm.MIX * min(worth(pair[s]) / worth(single[s[0]]), 1) + (1 - lm.MIX) * (worth(single[s[1]]) + 1) / (total + n + 1) for s in steps]
+        # A false hit raises a count by a level or two; a lost pair would cost more than a power of ten.
+        assert abs(got[i] - sum(map(math.log10, terms))) / len(steps) < 0.03
+
+
+def test_parts_give_the_same_scores(spark):
+    docs = documents(spark, texts(5, 30))
+    train = crc_fold("doc_id", 7) != 2
+    one, many = ({(r.doc_id, r.n_tokens, round(r.score, 9)) for r in lm.score_texts(docs, train, part_bits=b).collect()} for b in (1 << 40, 1 << 26))
+    assert one == many
