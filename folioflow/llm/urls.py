@@ -15,7 +15,7 @@ import json
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow.llm.common import lower_ascii, whole
@@ -25,8 +25,10 @@ from folioflow.session import cut_lineage
 Rule = tuple[str, str, str]
 
 BUCKETS, NGRAM, STEPS, RATE, RIDGE = 1024, 3, 16, 0.6, 1e-3
-#: At most this many labelled urls train the model; the smallest hashes are taken.
+#: At most this many distinct labelled urls train the model; the smallest hashes are taken.
 MAX_LABELLED = 2000
+#: One in so many of them is of the rarer verdict at least, if there are as many.
+RARE_SHARE = 10
 
 
 def split_url(url: str | Column) -> tuple[Column, Column]:
@@ -90,6 +92,18 @@ def train(labelled: DataFrame, buckets: int = BUCKETS, steps: int = STEPS) -> li
     return weights
 
 
+def sample(seen: DataFrame, most: int) -> DataFrame:
+    """``most`` distinct rows of ``seen(h, p, verdict)`` by hash, with a share of each verdict; repeats count once."""
+    block = F.col("verdict") == "block"
+    once = seen.filter("verdict is not null").select("h", "p", "verdict", block.alias("block")).distinct()
+    order = [F.xxhash64("h", "p"), "h", "p", "verdict"]
+    some = once.filter("block").orderBy(*order).limit(most).union(once.filter("not block").orderBy(*order).limit(most))
+    place = F.row_number().over(Window.partitionBy("block").orderBy(*order))  # over 2 * most rows at most
+    ranked = some.withColumn("place", place)
+    share = max(1, most // RARE_SHARE)
+    return ranked.orderBy(F.col("place") > share, *order).limit(most).drop("place")
+
+
 def judge_urls(
     pages: DataFrame,
     rules: Sequence[Rule],
@@ -109,9 +123,9 @@ def judge_urls(
     else:
         host, path = split_url("url")
         seen = labelled.select(host.alias("h"), path.alias("p"), "verdict")
-    some = seen.filter("verdict is not null").orderBy(F.xxhash64("h", "p"), "h", "p", "verdict").limit(max_labelled)
+    some = sample(seen, max_labelled)
     grams = buckets_of(F.col("h"), F.col("p"))
-    weights = train(some.select(grams.alias("grams"), (F.col("verdict") == "block").alias("block")))
+    weights = train(some.select(grams.alias("grams"), "block"))
     host, path = split_url(url)
     clash = {"host", "path", "rule", "verdict", "block_probability"}
     own = pages.select(*[f"`{c}`" for c in pages.columns if c not in clash], host.alias("host"), path.alias("path"))

@@ -74,3 +74,17 @@ def test_one_class_and_empty(spark):
     labelled = spark.createDataFrame([("http://a.com/", "allow")], "url string, verdict string")
     assert [r.verdict for r in urls.judge_urls(pages, (), labelled, default="block").collect()] == ["block"]
     assert urls.judge_urls(pages.limit(0), URL_RULES).count() == 0
+
+
+def test_repeated_urls_do_not_fill_the_sample(spark):
+    rules = (("block", "bad.org", "/"), ("allow", "good.org", "/"))
+    once = [f"http://bad.org/win/{i}" for i in range(60)] + [f"http://good.org/read/{i}" for i in range(60)]
+    hashed = spark.createDataFrame([(u,) for u in once], "url string").select("url", F.xxhash64(*urls.split_url("url")).alias("x"))
+    first = hashed.orderBy("x").first().url
+    rows = [*once, *[first] * 400, "http://x.net/win/1", "http://x.net/read/1"]
+    pages = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    got = {r.url: r for r in urls.judge_urls(pages, rules, max_labelled=100).collect()}
+    assert [got[f"http://x.net/{w}/1"].verdict for w in ("win", "read")] == ["block", "allow"]
+    seen = spark.createDataFrame([("h", f"/{i}", "block" if i < 15 else "allow") for i in range(5000)] * 2, "h string, p string, verdict string")
+    some = [(r.p, r.block) for r in urls.sample(seen, 100).collect()]
+    assert len(some) == len(set(some)) == 100 and sum(b for _, b in some) >= 10
