@@ -127,7 +127,12 @@ def discover(staged: DataFrame, pages: DataFrame, rules: Rules) -> DataFrame:
 
 def _sitemap_links(pages: DataFrame, rules: Rules) -> DataFrame:
     urls = [r.sitemap_url for r in rules.values() if r.sitemap_url]
-    maps = pages.filter(F.col("url").isin(urls)).select("site", F.col("url").alias("from_url"), F.col("html").alias("xml"))
+    maps = pages.filter(F.col("url").isin(urls))
+    return _map_links(maps.select("site", F.col("url").alias("from_url"), F.col("html").alias("xml")), rules)
+
+
+def _map_links(maps: DataFrame, rules: Rules) -> DataFrame:
+    """Links of the sitemaps ``maps(site, from_url, xml)``."""
     entries = sitemap_urls(maps).select("site", "from_url", F.col("loc").alias("url"), "pos")
     return filter_urls(entries, rules).withColumns(
         {

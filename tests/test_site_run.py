@@ -202,3 +202,23 @@ def test_several_versions_in_one_batch_and_captcha_skip(spark, tmp_path):
     items = read_items(spark, store.items(0), multi_line=False)
     assert items.count() == 12 and items.filter(F.col("source_url").endswith("wall")).isEmpty()
     assert items.filter(F.col("file_name").endswith("_2.json")).count() == 3
+
+
+def test_sitemap_check_builds_maps_of_bounded_size(spark, tmp_path, monkeypatch):
+    """No more than ``MAP_EVENTS`` entries stand in one sitemap, and the counts are those of all of them."""
+    from folioflow.checks import runs
+
+    rows = [(i, i % 7) for i in range(4000)]
+    spark.createDataFrame(rows, "event_id long, user_id long").write.parquet(f"{tmp_path}/events.parquet")
+    sizes = []
+
+    def watched(maps, rules):
+        sizes.extend(r[0].count("<loc>") for r in maps.select("xml").collect())
+        return site_run._map_links(maps, rules)
+
+    from folioflow.plans import site_run
+
+    monkeypatch.setattr(runs, "_map_links", watched)
+    got = {r.site: r.n_links for r in runs.q_sitemap_repeats(spark, str(tmp_path)).collect()}
+    assert got == {"all": sum(u % 2 == 0 for _, u in rows), "once": 3}
+    assert sum(sizes) == 4000 and max(sizes) <= runs.MAP_EVENTS
