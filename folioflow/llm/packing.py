@@ -158,6 +158,10 @@ class Packer:
             while left >= self.context and self.pool[-1][0] > size // 2:
                 out.append(self._fill(size))
                 left -= size
+        while left >= self.context:  # pieces far below the smallest tier: they do not wait either
+            size = min(self.tiers, default=self.context)
+            out.append(self._fill(size))
+            left -= size
         if last:
             for size in self.tiers:
                 while left >= size:

@@ -81,3 +81,13 @@ def test_empty(spark):
     assert packing.pack(spark.createDataFrame([], DOCS), PATH).count() == 0
     with pytest.raises(ValueError):
         packing.pack(spark.createDataFrame([], DOCS), PATH, context=1000)
+
+
+def test_short_pieces_do_not_wait_for_the_end():
+    packer = packing.Packer()
+    for i in range(20_000):
+        packer.add(i, b"\x01\0\0\0" * (1 + i % 32))
+    out = packer.block()
+    assert sum(n for n, _, _ in packer.pool) < packing.CONTEXT
+    filled = sum(len(p[2]) // 4 for s in [*out, *packer.block(last=True)] for p in s)
+    assert filled == sum(1 + i % 32 for i in range(20_000))
