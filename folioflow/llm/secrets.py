@@ -1,8 +1,7 @@
 """Secret scans: fixed patterns, and a battery of randomness tests on other long tokens.
 
-Patterns give the base spans. Any other run of ``[A-Za-z0-9+/_=-]`` of 20 to 512
-characters is a candidate (longer ones are payloads, not keys; base patterns still see
-them). Its encoding is inferred from its characters, and it is tested for
+Patterns give the base spans. Any other run of ``[A-Za-z0-9+/_=-]`` of 20 characters or
+more is a candidate. Its encoding is inferred from its characters, and it is tested for
 
 * text-likeness: how often words, capitals and digits take turns (separators and the capital
   of a word are no change); the Chernoff bound of that count under the rate of plain text is a
@@ -32,7 +31,6 @@ KINDS = ("assign", "access", "hex")
 #: Maximal runs: asking for the least length in the pattern gives the same matches as dropping shorter ones.
 ACCESS, HEX = r"AKIA[A-Z0-9]{14,}", r"[0-9a-f]{16,}"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-LEAST, MOST = 20, 512
 #: Rate of class changes in plain text, error share, and the mean length that gets that share.
 CHANGE_RATE, FDR, MEAN_LENGTH = 0.08, 0.001, 32
 #: The battery rejects randomness above this z (about 1 in 10,000).
@@ -136,7 +134,7 @@ def _weighted(token: Column) -> Column:
 
 
 def candidates(text: Column) -> Column:
-    return F.filter(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), lambda t: F.length(t) <= MOST)
+    return F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
 
 
 def discovery_threshold(docs: DataFrame, text: str = "text", fdr: float = FDR) -> float:
@@ -157,21 +155,21 @@ def random_spans(text: Column, threshold: float) -> Column:
     """Spans of candidates that pass the threshold and the battery, of kind ``random``."""
     def passes(s):
         token = F.substring(text, s["start"] + 1, s["end"] - s["start"])
-        short = (s["end"] - s["start"]) <= MOST
-        return F.when(short & (_weighted(token) >= threshold), battery(token) <= MAX_Z).otherwise(False)
+        # Length alone makes no secret: a run of one mark, however long, has no p-value.
+        return F.when((text_p_value(token) > 0) & (_weighted(token) >= threshold), battery(token) <= MAX_Z).otherwise(False)
 
     return F.filter(_spans(text, CANDIDATE, 3, "random"), passes)
 
 
 def scan_secrets(docs: DataFrame, text: str = "text", threshold: float | None = None) -> DataFrame:
-    """Add ``secret_spans``: base spans, and random ones that overlap none of them, by start and kind."""
+    """Add ``secret_spans``: base spans, and random ones that no base span covers whole, by start and kind."""
     threshold = discovery_threshold(docs, text) if threshold is None else threshold
     rows = docs.withColumn("_llm_text", whole(text))
     t = F.col("_llm_text")
     assign, access, hexes = base_spans(t)
     rows = rows.withColumns({"_llm_base": F.concat(assign, access, hexes), "_llm_rnd": random_spans(t, threshold)})
     base = F.col("_llm_base")
-    fresh = F.filter("_llm_rnd", lambda r: ~F.exists(base, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
+    fresh = F.filter("_llm_rnd", lambda r: ~F.exists(base, lambda b: (b["start"] <= r["start"]) & (r["end"] <= b["end"])))
     return rows.withColumn("secret_spans", F.sort_array(F.concat(base, fresh))).drop("_llm_text", "_llm_base", "_llm_rnd")
 
 

@@ -129,3 +129,17 @@ def test_query_digest(spark, tmp_path):
             listed = ",".join(f"{n}:{s}:{e}" for s, _, e, n in want)
             assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
             assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == x[1] for x in want) for k in range(3)]
+
+
+def test_long_runs_and_runs_beside_base_spans(spark):
+    rng = random.Random(12)
+    draw = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    long = [draw(ALPHABETS["base64"], n) for n in (513, 1600, 3000)]
+    mixed = [f"{draw('0123456789abcdef', 16)}-{draw(string.ascii_letters + string.digits, 60)}"]
+    values = [f"a {t} b" for t in [*long, *mixed]]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(values)], DOCS)
+    found = {r.doc_id: [tuple(s) for s in r.secret_spans] for r in secrets.scan_secrets(docs).collect()}
+    for i, t in enumerate([*long, *mixed]):
+        assert (2, 3, 2 + len(t), "random") in found[i]
+        assert [s for s in found[i] if s[1] < 3] == sorted(base(values[i]))
+    assert {r.text for r in secrets.redact(docs).collect()} == {"a [SECRET] b"}
