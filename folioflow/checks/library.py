@@ -251,8 +251,8 @@ def q_upsert_table(spark: SparkSession, d: str) -> DataFrame:
     path = join_path(shared_dir(spark), f"upsert-{uuid.uuid4().hex}")
     half = F.col("doc_id") % 2 == 0
     upsert_table(spark, path, rows.filter(half), buckets=16, order=("doc_id",))
-    for _ in range(2):
-        actions = upsert_table(spark, path, rows, buckets=16, order=("doc_id",))
+    for buckets in (16, 32):  # the table keeps the number it was made with
+        actions = upsert_table(spark, path, rows, buckets=buckets, order=("doc_id",))
     stored = spark.read.parquet(path)
     return stored.join(actions, ["brand", "_key"]).select(
         F.col("_key").alias("key"), "doc_id", "body", F.col("_action").alias("action")

@@ -189,13 +189,13 @@ def two_hop(first: DataFrame, second: DataFrame) -> DataFrame:
 def follow_next(seeds: DataFrame, edges: DataFrame, max_steps: int | None = None) -> DataFrame:
     """Pages reached from the seeds over "next" links, with their seed's category.
 
-    ``seeds``: site, url, ord, listing_category. ``edges``: site, from_url, url, and
-    ``fetched_at`` and ``pos`` if known: of several next links of a page the first one of
+    ``seeds``: site, url, ord, listing_category, and ``depth`` if they have one. ``edges``:
+    site, from_url, url, and ``fetched_at`` and ``pos`` if known: of several next links of a page the first one of
     the latest fetch counts. Each round doubles the length of the jumps, so a chain of n
     pages takes log2(n) rounds. A page on several chains belongs to the nearest seed.
     """
     columns = ["site", "url", "ord", "listing_category", "depth"]
-    start = seeds.withColumn("depth", F.lit(0).cast("long")).select(*columns)
+    start = (seeds if "depth" in seeds.columns else seeds.withColumn("depth", F.lit(0).cast("long"))).select(*columns)
     reached = cut_lineage(first_seen(start, order=["depth", "ord"]).select(*columns))
     newest = [-F.unix_micros(F.col("fetched_at").cast("timestamp"))] if "fetched_at" in edges.columns else []
     first = F.struct(*newest, *(["pos"] if "pos" in edges.columns else []), "url")

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions.normalize import item_key, publish_date
-from folioflow.session import cut_lineage
+from folioflow.session import cut_lineage, join_path
+from folioflow.streaming.state import BUCKET, bucket_of, stored_buckets, touched_buckets, write_buckets
 
 INSERTED, UPDATED, UNCHANGED, KEPT = "inserted", "updated", "unchanged", "kept"
 
@@ -75,32 +76,35 @@ def upsert_table(
     path: str,
     items: DataFrame,
     *,
-    buckets: int = 256,
+    buckets: int | None = None,
     hash_col: str = "_content_hash",
     order: Sequence[str] = ("_scraped_at", "_content_hash"),
 ) -> DataFrame:
     """Upsert into a table stored in key buckets; gives ``brand``, ``_key``, ``_action`` of the batch.
 
     Only keys and hashes of the batch's buckets are read to decide, and only buckets with
-    a new or changed item are rewritten: a batch that comes again rewrites nothing.
+    a new or changed item are rewritten: a batch that comes again rewrites nothing. The table
+    keeps the number of buckets it was made with (``buckets``, or one per shuffle partition);
+    a large bucket is written by several tasks.
     """
+    buckets = stored_buckets(spark, path, buckets)
+    path = join_path(path, f"buckets={buckets}")
     keyed, last = _last_versions(items, None, order)
-    last = last.withColumn("_bucket", F.pmod(F.xxhash64(*keyed), F.lit(buckets)).cast("int"))
+    last = last.withColumn(BUCKET, bucket_of(keyed, buckets))
     try:
         lake = spark.read.schema(last.schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         lake = spark.createDataFrame([], last.schema)
-    touched = last.select("_bucket").distinct()
-    slim = lake.select("_bucket", *keyed, hash_col).join(F.broadcast(touched), "_bucket", "left_semi").drop("_bucket")
+    touched = touched_buckets(last, keyed, buckets)
+    slim = lake.select(BUCKET, *keyed, hash_col).join(F.broadcast(touched), BUCKET, "left_semi").drop(BUCKET)
     actions = cut_lineage(_actions(slim, last.select(*keyed, hash_col), keyed, hash_col))
     fresh = last.join(actions.filter(F.col("_action") != UNCHANGED).drop("_action"), keyed, "left_semi")
-    changed = F.broadcast(fresh.select("_bucket").distinct())  # as many rows as buckets
+    changed = F.broadcast(touched_buckets(fresh, keyed, buckets))
     if not fresh.isEmpty():
-        kept = lake.join(changed, "_bucket", "left_semi").join(fresh.select(*keyed), keyed, "left_anti")
-        rows = kept.select(*last.columns).unionByName(fresh).repartition("_bucket")
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(path)
+        kept = lake.join(changed, BUCKET, "left_semi").join(fresh.select(*keyed), keyed, "left_anti")
+        write_buckets(kept.select(*last.columns).unionByName(fresh), path, partitionOverwriteMode="dynamic")
     return actions
 
 

@@ -46,9 +46,9 @@ def order_cuts(
     None if no key has more than ``hot_rows`` rows, which one count of the keys tells.
     """
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = cut_lineage(counted.filter(F.col("_n") > hot_rows))
-    if hot.isEmpty():
+    if (counted.agg(F.max("_n")).first()[0] or 0) <= hot_rows:
         return None
+    hot = cut_lineage(counted.filter(F.col("_n") > hot_rows))
     slim = df.select(*keys, F.struct(*order).alias("_ord"))
     marked = lookup(slim, hot, keys).filter(F.col("_n").isNotNull())
     parts = F.ceil(F.col("_n") / hot_rows)

@@ -160,6 +160,38 @@ def parse_file_names(names: DataFrame, column: str = "file_name") -> DataFrame:
     )
 
 
+def number_intervals(names: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``_base``, ``_lo``, ``_hi``: unbroken runs of the numbers ``names(_base, _number)``."""
+    ranked = rank_rows(names.distinct(), ["_base"], ["_number"], "_pos", hot_rows)
+    runs = ranked.groupBy("_base", (F.col("_number") - F.col("_pos")).alias("_run"))
+    return runs.agg(F.min("_number").alias("_lo"), F.max("_number").alias("_hi")).drop("_run")
+
+
+def merge_intervals(intervals: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Intervals of a base that overlap or touch become one.
+
+    A sweep over both ends of all intervals: where the number of open ones rises from nothing
+    an interval begins, where it falls to nothing it ends.
+    """
+    ends = intervals.select(
+        "_base",
+        F.explode(
+            F.array(
+                F.struct(F.col("_lo").alias("_at"), F.lit(0).alias("_kind")),
+                F.struct((F.col("_hi") + 1).alias("_at"), F.lit(1).alias("_kind")),
+            )
+        ).alias("e"),
+    ).select("_base", "e.*")
+    # Ends of one kind at one place are one step, so that the order is total.
+    steps = ends.groupBy("_base", "_at", "_kind").agg(F.count("*").alias("_n"))
+    step = F.when(F.col("_kind") == 0, F.col("_n")).otherwise(-F.col("_n"))
+    open_ = running_sum(steps, ["_base"], ["_at", "_kind"], step, "_open", hot_rows)
+    begins = (F.col("_kind") == 0) & (F.col("_open") == F.col("_n"))
+    marks = open_.withColumn("_begins", begins).filter(F.col("_begins") | ((F.col("_kind") == 1) & (F.col("_open") == 0)))
+    part = running_sum(marks, ["_base"], ["_at", "_kind"], F.col("_begins").cast("long"), "_part", hot_rows)
+    return part.groupBy("_base", "_part").agg(F.min("_at").alias("_lo"), (F.max("_at") - 1).alias("_hi")).drop("_part")
+
+
 def assign_file_names(
     items: DataFrame,
     existing: DataFrame | None = None,
@@ -169,9 +201,9 @@ def assign_file_names(
 ) -> DataFrame:
     """Add ``file_name``: the k-th item with a name gets the k-th free number.
 
-    ``existing`` holds the ``file_name`` of outputs already present; gaps left by
-    removed ones are filled first. Items of one time are ordered by a hash of their
-    URL and body (``_tie``).
+    ``existing`` holds the ``file_name`` of outputs already present, or intervals of used
+    numbers (``_base``, ``_lo``, ``_hi``); gaps left by removed ones are filled first. Items of
+    one time are ordered by a hash of their URL and body (``_tie``).
     """
     named = items.withColumn("_base", base_name())
     if "_tie" in order:
@@ -179,24 +211,25 @@ def assign_file_names(
         named = named.withColumn("_tie", tie)
     ranked = rank_rows(named, ["_base"], order, "_rank", hot_rows).withColumn("_number", F.col("_rank") - 1)
     if existing is not None:
-        ranked = _skip_taken(ranked, parse_file_names(existing), hot_rows)
+        if "file_name" in existing.columns:
+            one = F.col("_number")
+            existing = parse_file_names(existing).select("_base", one.alias("_lo"), one.alias("_hi"))
+        ranked = _skip_taken(ranked, existing, hot_rows)
     return ranked.withColumn("file_name", numbered_name("_base", "_number")).select(*items.columns, "file_name")
 
 
 def _skip_taken(ranked: DataFrame, taken: DataFrame, hot_rows: int) -> DataFrame:
-    """Turn the k-th position into the k-th number not in ``taken``.
+    """Turn the k-th position into the k-th number not in the intervals ``taken``.
 
-    A taken number e with f free numbers below it pushes every position >= f up by
-    one, so the pushes are summed along the merged order of positions and f values.
-    Unbroken runs of taken numbers share one f and are one row.
+    An interval with f free numbers below it pushes every position >= f up by its length, so
+    the pushes are summed along the merged order of positions and f values.
     """
     ranked = cut_lineage(ranked)
     # Names of this batch only; the others are dropped where they are read.
     taken = taken.join(ranked.select("_base").distinct(), "_base", "left_semi").distinct()
-    free_below = rank_rows(taken, ["_base"], ["_number"], "_pos", hot_rows).withColumn(
-        "_at", F.col("_number") - (F.col("_pos") - 1)
-    )
-    runs = cut_lineage(free_below.groupBy("_base", "_at").agg(F.count(F.lit(1)).alias("_push")))
+    runs = merge_intervals(taken, hot_rows).withColumn("_push", F.col("_hi") - F.col("_lo") + 1)
+    runs = running_sum(runs, ["_base"], ["_lo"], F.col("_push"), "_used", hot_rows)
+    runs = cut_lineage(runs.select("_base", (F.col("_hi") + 1 - F.col("_used")).alias("_at"), "_push"))
     cols = [c for c in ranked.columns if c not in ("_base", "_number")]
     marks = ranked.select(
         "_base",

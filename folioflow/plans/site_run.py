@@ -20,8 +20,6 @@ from folioflow.functions.normalize import item_hash, normalize_date
 from folioflow.operators.discovery import (
     dedup_links,
     discovery_report,
-    expand_pages,
-    explode_links,
     extract_links,
     filter_urls,
     first_seen,
@@ -37,15 +35,13 @@ from folioflow.operators.extraction import (
     merge_fields,
 )
 from folioflow.operators.items import assemble_items
-from folioflow.operators.quality import assign_file_names, detect_changes, drop_unchanged, latest_state
+from folioflow.operators.quality import assign_file_names, base_name, detect_changes, drop_unchanged, latest_state
+from folioflow.plans.link_graph import KEYS, LISTING, PLAIN, GraphStore, grow, next_edges, start_listings
 from folioflow.rules import Rules, by_site
-from folioflow.session import join_path, spread_small
+from folioflow.session import cut_lineage, join_path, spread_small
 from folioflow.sources.items import write_items
 from folioflow.sources.sitemap import sitemap_urls
-from folioflow.streaming.state import COMPACT_EVERY, NameTable, SeenTable, complete_dirs
-
-_LISTING = {"links": "array<string>", "editions": "array<string>", "next": "string", "last": "string"}
-
+from folioflow.streaming.state import COMPACT_EVERY, NameTable, SeenTable
 
 class RunStore:
     """Folders of a site library below one (shared) root."""
@@ -54,6 +50,7 @@ class RunStore:
         self.spark, self.root = spark, root
         self.seen = SeenTable(spark, join_path(root, "seen"))
         self.names = NameTable(spark, join_path(root, "names"))
+        self.graph = GraphStore(spark, join_path(root, "graph"))
 
     def staged(self, batch: int) -> str:
         return join_path(self.root, "staged", f"batch={batch}")
@@ -61,19 +58,10 @@ class RunStore:
     def items(self, batch: int) -> str:
         return join_path(self.root, "items", f"batch={batch}")
 
-    def links(self, batch: int) -> str:
-        return join_path(self.root, "links", f"batch={batch}")
-
-    def before(self, kind: str, batch: int) -> DataFrame | None:
-        """What earlier batches have written to ``staged`` or ``links``; None before the first one."""
-        root = join_path(self.root, kind)
-        done = sorted(int(n[6:]) for n in complete_dirs(self.spark, root) if n.startswith("batch="))
-        paths = [join_path(root, f"batch={n}") for n in done if n < batch]
-        return self.spark.read.parquet(*paths) if paths else None
-
     def compact(self, batch: int) -> None:
         self.seen.compact(batch)
         self.names.compact(batch)
+        self.graph.compact(batch)
 
 
 def stage_pages(pages: DataFrame, rules: Rules, path: str, skip_captcha: bool = False, batch: int = 0) -> DataFrame:
@@ -86,7 +74,7 @@ def stage_pages(pages: DataFrame, rules: Rules, path: str, skip_captcha: bool =
     known = flag_captcha(pages.filter(F.col("site").isin(list(rules))), skip=skip_captcha)
     parsed = merge_fields(extract_jsonld(dom_select(spread_small(known), fields), rules).drop("html"))
     have = parsed.schema["dom"].dataType.names
-    flat = [(F.col(f"dom.{n}") if n in have else F.lit(None).cast(t)).alias(n) for n, t in _LISTING.items()]
+    flat = [(F.col(f"dom.{n}") if n in have else F.lit(None).cast(t)).alias(n) for n, t in LISTING.items()]
     # Merged fields are stored once; of the DOM only what has no merged counterpart.
     rest = [F.col(f"dom.{n}").alias(n) for n in ("tags", "images") if n in have]
     dom = F.struct(*rest) if rest else F.struct(F.lit(None).cast("array<string>").alias("tags"))
@@ -97,29 +85,18 @@ def stage_pages(pages: DataFrame, rules: Rules, path: str, skip_captcha: bool =
 
 
 def discover(staged: DataFrame, pages: DataFrame, rules: Rules) -> DataFrame:
-    """Article links of all sites: site, url, listing_category, from_url, ord, depth, pos."""
-    scan = staged.select("site", "url", *_LISTING)
+    """All article links of one set of pages: site, url, listing_category, from_url, ord, depth, pos.
+
+    A run keeps the graph of all its batches instead (``link_graph.grow``).
+    """
+    scan = staged.select("site", "url", "fetched_at", *LISTING)
     seeds = seed_pages(scan, rules)
     start = seeds.filter(F.col("route") == "listing")
-    plain = ["site", "url", "ord", "listing_category", "depth"]
-    listings = [start.withColumn("depth", F.lit(0).cast("long")).select(*plain)]
-
-    if any(r.edition_selector for r in rules.values()):
-        archives = seeds.filter(F.col("route") == "archive")
-        editions = first_seen(explode_links(archives, "editions"), order=["ord", "from_url", "pos"])
-        listings.append(editions.withColumn("depth", F.col("pos").cast("long") + 1).select(*plain))
-    if any(r.last_page_selector for r in rules.values()):
-        paged = expand_pages(start, rules)
-        listings.append(paged.withColumn("depth", F.col("page_no")).select(*plain))
-    if any(r.next_selector for r in rules.values()):
-        edges = staged.filter(F.col("next").isNotNull()).select("site", "url", "fetched_at", F.array("next").alias("links"))
-        edges = explode_links(edges).select("site", "from_url", "url", "fetched_at")
-        chained = follow_next(start, edges)
-        listings.append(chained.filter(F.col("depth") > 0).select(*plain))
-
-    known = listings[0]
-    for more in listings[1:]:
+    known = start.withColumn("depth", F.lit(0).cast("long")).select(*PLAIN)
+    for more in start_listings(scan, seeds, rules):
         known = known.unionByName(more)
+    if any(r.next_selector for r in rules.values()):
+        known = known.unionByName(follow_next(start, next_edges(scan)).filter(F.col("depth") > 0).select(*PLAIN))
     known = first_seen(known, order=["depth", "ord"])
     found = extract_links(scan.select("site", "url", "links").join(known, ["site", "url"]), rules)
     return found.unionByName(_sitemap_links(pages, rules), allowMissingColumns=True)
@@ -160,7 +137,7 @@ def decide(staged: DataFrame, links: DataFrame | None, rules: Rules, store: RunS
         slim = filter_urls(slim, rules)
     else:
         # Whatever the site's own scope is, a URL is taken up once per run.
-        slim = slim.join(first_seen(links).select("site", "url", "listing_category"), ["site", "url"])
+        slim = slim.join(first_seen(links).select(*KEYS, "listing_category"), KEYS)
     slim = slim.withColumns(
         {
             "_key": F.col("url"),
@@ -169,12 +146,11 @@ def decide(staged: DataFrame, links: DataFrame | None, rules: Rules, store: RunS
             "content_type": F.lit("article"),
         }
     )
-    seen = store.seen.before(batch, slim.select("brand", "url"))
+    seen = store.seen.before(batch, cut_lineage(slim.select("brand", "url").distinct()))
     changed = drop_unchanged(detect_changes(slim, seen, order=("_scraped_at", "_content_hash", "_batch", "_row")))
     changed = _stored(changed, join_path(store.root, "changed", f"batch={batch}"))
-    named = assign_file_names(
-        changed, store.names.before(batch), order=("_scraped_at", "url", "_content_hash", "_batch", "_row")
-    )
+    names = store.names.before(batch, changed.select(base_name().alias("_base")))
+    named = assign_file_names(changed, names, order=("_scraped_at", "url", "_content_hash", "_batch", "_row"))
     keep = ["_batch", "_row", "_change", "file_name"] + (["listing_category"] if "listing_category" in named.columns else [])
     return _stored(named.select(*keep), join_path(store.root, "decided", f"batch={batch}"))
 
@@ -211,12 +187,11 @@ def run_batch(
     staged = stage_pages(pages, rules, store.staged(batch), skip_captcha, batch)
     links = None
     if crawl_links:
-        links = _stored(discover(staged, pages, rules), store.links(batch))
-        staged, links = _with_earlier(staged, links, store, batch)
+        staged, links = _with_earlier(staged, pages, rules, store, batch)
     decisions = decide(staged, links, rules, store, batch)
     write_run(staged, decisions, rules, store.items(batch))
 
-    store.names.write_delta(decisions, batch)
+    store.names.write_names(decisions, batch)
     # The state after a batch is the last changed version of each key: an unchanged
     # version has the hash that is stored already.
     fresh = staged.select(
@@ -232,24 +207,24 @@ def run_batch(
         store.compact(batch)
 
 
-def _with_earlier(staged: DataFrame, links: DataFrame, store: RunStore, batch: int) -> tuple[DataFrame, DataFrame]:
+def _with_earlier(
+    staged: DataFrame, pages: DataFrame, rules: Rules, store: RunStore, batch: int
+) -> tuple[DataFrame, DataFrame]:
     """Pages and links this batch has to look at, with those that waited for it.
 
-    Links of earlier batches meet the pages of this one, and pages of earlier batches
-    that no link led to meet the links that are new now. Bodies of earlier pages are read
-    only where a decision asks for them.
+    Links known before meet the pages of this batch; pages of earlier batches that no link
+    led to meet the links that are new now. Of earlier batches only those that hold such a
+    page are read, and bodies only where a decision asks for them.
     """
-    past_links, past_pages = store.before("links", batch), store.before("staged", batch)
-    if past_links is not None:
-        known = past_links.select("site", "url").distinct()
-        fresh = links.select("site", "url").distinct().join(known, ["site", "url"], "left_anti")
-        links = past_links.select(*links.columns).unionByName(links)
-    else:
-        fresh = links.select("site", "url").distinct()
-    if past_pages is not None:
-        waiting = past_pages.join(fresh, ["site", "url"], "left_semi")
-        staged = staged.unionByName(waiting, allowMissingColumns=True)
-    return staged, links
+    fresh = grow(staged, rules, store.graph, batch, _sitemap_links(pages, rules)).links
+    known = store.graph.linked.read_before(batch, staged.select(*KEYS)).drop("_run")
+    waiting = cut_lineage(store.graph.pages.read_before(batch, fresh).drop("_run"))
+    held = [r[0] for r in waiting.select("_batch").distinct().collect()]  # as many as batches at most
+    if held:
+        old = store.spark.read.parquet(*[store.staged(b) for b in sorted(held)])
+        old = old.join(waiting.select("_batch", "_row"), ["_batch", "_row"], "left_semi")
+        staged = staged.unionByName(old, allowMissingColumns=True)
+    return staged, fresh.unionByName(known)
 
 
 def dry_run(pages: DataFrame, rules: Rules, root: str, batch: int = 0) -> DataFrame:
