@@ -38,9 +38,10 @@ from folioflow.session import cut_lineage
 FILTER_BITS, PROBES, BASE, FILL_BITS = 1 << 28, 3, 1.5, 8
 #: Bits of the filter that one broadcast takes at most.
 PART_BITS = 1 << 29
-PAIR_CUTOFF, MAX_TABLE = 1, 2_000_000
+PAIR_CUTOFF, MAX_TABLE = 1, 1_000_000
 LEVELS = 1 + int(math.log(2**40, BASE))
-SLICE_BYTES = 4 << 20
+#: Bytes of text worked on at once: larger slices repeat fewer n-grams when counting, scoring needs no more.
+SLICE_BYTES, SCORE_BYTES = 4 << 20, 1 << 20
 MIX = 0.7
 END = xxhash.xxh64_intdigest(b"\n", 42)  # no word holds a line break
 _U = np.uint64
@@ -232,7 +233,7 @@ def _add_levels(texts: DataFrame, part: np.ndarray, buckets: int, first: int, wi
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, "text", SLICE_BYTES):
+            for rows in slices(batch, "text", SCORE_BYTES):
                 flat, lengths = tokens(rows.column("text").to_pylist())
                 single, both = _probe(shared.value, flat, lengths, rows.column("levels").to_pylist(), buckets, first, width)
                 ends = np.cumsum(lengths)
@@ -305,9 +306,10 @@ def score_texts(
     shared = spark.sparkContext.broadcast((filter_, known_keys[order], table.column("c").to_numpy()[order]))
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()  # what counting has left in this worker
         bloom, keys, known = shared.value
         for batch in batches:
-            for part in slices(batch, "text", SLICE_BYTES):
+            for part in slices(batch, "text", SCORE_BYTES):
                 flat, lengths = tokens(part.column("text").to_pylist())
                 ends = np.cumsum(lengths)
                 starts = ends - lengths
