@@ -24,8 +24,10 @@ from folioflow.operators.reports import (
     vocabulary_report,
     volume_check,
 )
-from folioflow.session import join_path, shared_dir
 from folioflow.operators.search import search_text, search_vector
+from folioflow.operators.text_index import build_text_index, search_index
+from folioflow.operators.vector_index import build_vector_index, search_cells
+from folioflow.session import join_path, shared_dir
 
 _MISSING = """
     m AS (SELECT doc_id, source AS brand, lang = 'fr' OR coalesce(toxic, 0) = 1 AS no_title, coalesce(quality, 1) = 0 AS no_body,
@@ -297,8 +299,7 @@ def q_fetch(spark: SparkSession, d: str) -> DataFrame:
     return fetch_items(lake, ids).select("doc_id", "text")
 
 
-@check(
-    r"""
+_TEXT_SQL = r"""
     WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM documents),
     tf AS (SELECT doc_id, term, count(*) AS tf FROM w GROUP BY doc_id, term),
     df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
@@ -308,7 +309,9 @@ def q_fetch(spark: SparkSession, d: str) -> DataFrame:
     r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
     SELECT item_id AS query_id, md5(text) AS text_md5, round(score, 4) AS score, rank FROM r JOIN documents USING (doc_id) WHERE rank <= 10
     """
-)
+
+
+@check(_TEXT_SQL)
 def q_search_text(spark: SparkSession, d: str) -> DataFrame:
     queries = table(spark, d, "benchmark").withColumnRenamed("item_id", "query_id")
     hits = search_text(table(spark, d, "documents"), queries, k=10)
@@ -317,23 +320,43 @@ def q_search_text(spark: SparkSession, d: str) -> DataFrame:
     return hits.join(texts, "doc_id").select("query_id", "text_md5", F.round("score", 4).alias("score"), "rank")
 
 
-@check(
-    """
+@check(_TEXT_SQL)
+def q_search_index(spark: SparkSession, d: str) -> DataFrame:
+    """The same hits from a stored index of all documents."""
+    path = build_text_index(table(spark, d, "documents"), join_path(shared_dir(spark), f"text-{uuid.uuid4().hex}"), shard_docs=500)
+    hits = search_index(spark, path, table(spark, d, "benchmark").withColumnRenamed("item_id", "query_id"), k=10)
+    texts = table(spark, d, "documents").select("doc_id", F.md5("text").alias("text_md5"))
+    return hits.join(texts, "doc_id").select("query_id", "text_md5", F.round("score", 4).alias("score"), "rank")
+
+
+_VECTOR_SQL = """
     WITH p AS (SELECT label, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i FROM embeddings),
     c AS (SELECT label, list(m ORDER BY i) AS center FROM (SELECT label, i, avg(x) AS m FROM p GROUP BY label, i) GROUP BY label),
     s AS (SELECT c.label AS query_id, vec_id, list_cosine_similarity(center, embedding::DOUBLE[]) AS score FROM c, embeddings)
     SELECT query_id, vec_id, round(score, 4) AS score, rank FROM (
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
     """
-)
-def q_search_vector(spark: SparkSession, d: str) -> DataFrame:
-    """Nearest vectors to the center of each label."""
-    vectors = table(spark, d, "embeddings")
+
+
+def _label_centers(vectors: DataFrame) -> DataFrame:
     parts = vectors.select("label", F.posexplode("embedding").alias("i", "x"))
     mean = parts.groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("m"))
     ordered = F.array_sort(F.collect_list(F.struct("i", "m")))
-    centers = mean.groupBy(F.col("label").alias("query_id")).agg(
-        F.transform(ordered, lambda p: p["m"]).alias("embedding")
-    )
-    hits = search_vector(vectors, centers, k=10)
+    return mean.groupBy(F.col("label").alias("query_id")).agg(F.transform(ordered, lambda p: p["m"]).alias("embedding"))
+
+
+@check(_VECTOR_SQL)
+def q_search_vector(spark: SparkSession, d: str) -> DataFrame:
+    """Nearest vectors to the center of each label."""
+    vectors = table(spark, d, "embeddings")
+    hits = search_vector(vectors, _label_centers(vectors), k=10)
+    return hits.select("query_id", F.col("doc_id").alias("vec_id"), F.round("score", 4).alias("score"), "rank")
+
+
+@check(_VECTOR_SQL)
+def q_search_cells(spark: SparkSession, d: str) -> DataFrame:
+    """The same hits from a stored metric partitioning."""
+    vectors = table(spark, d, "embeddings")
+    path = build_vector_index(vectors, join_path(shared_dir(spark), f"vectors-{uuid.uuid4().hex}"), cell_rows=100)
+    hits = search_cells(spark, path, _label_centers(vectors), k=10)
     return hits.select("query_id", F.col("doc_id").alias("vec_id"), F.round("score", 4).alias("score"), "rank")
