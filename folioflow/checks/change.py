@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.checks.registry import check, joined, table, text
+from folioflow.checks.registry import CHECKS, check, joined, table, text
 from folioflow.operators.ordering import rank_rows
 from folioflow.operators.quality import (
     annotate_missing,
@@ -19,6 +19,7 @@ from folioflow.operators.quality import (
     upsert_state,
 )
 from folioflow.session import join_path, shared_dir
+from folioflow.streaming.changes import run_changes, state_session
 from folioflow.streaming.state import SeenTable
 
 _ORDER = ("ts", "event_id")
@@ -51,6 +52,26 @@ def q_change(spark: SparkSession, d: str) -> DataFrame:
     return changes.select("event_id", F.col("_change").alias("change"))
 
 
+_STREAM_SQL = CHECKS["q_change"][1]
+
+
+@check(_STREAM_SQL)
+def q_change_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The same from a stream: three arrivals of files, each taken up by a query that goes on from its state."""
+    own = state_session(spark)
+    versions = _versions(spark, d)
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = versions.agg(F.min(micros), F.max(micros)).first()
+    part = F.floor((micros - F.lit(low)) * 3 / F.lit(high - low + 1))
+    root = join_path(shared_dir(spark), f"changes-{uuid.uuid4().hex}")
+    landing = join_path(root, "landing")
+    for n in range(3):
+        versions.filter(part == n).write.mode("append").parquet(landing)
+        arriving = own.readStream.schema(versions.schema).parquet(landing)
+        run_changes(arriving, root, order=_ORDER).awaitTermination()
+    return spark.read.parquet(join_path(root, "changes")).select("event_id", F.col("_change").alias("change"))
+
+
 _HALVES = f"""{_VERSIONS},
     cut AS (SELECT user_id AS u, min(ts) + (max(ts) - min(ts)) / 2 AS mid FROM events GROUP BY user_id),
     h AS (SELECT v.*, ts <= mid AS old FROM v JOIN cut ON u = user_id),
