@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from folioflow.checks.change import doc_items
 from folioflow.checks.registry import check, joined, table, text
 from folioflow.operators.lake import fetch_items, list_items, mark_rejects, upsert_items, upsert_table
+from folioflow.operators.lake_layout import list_page, write_clustered
 from folioflow.operators.quality import annotate_missing
 from folioflow.operators.reports import (
     CATEGORY_WORDS,
@@ -27,7 +28,7 @@ from folioflow.operators.reports import (
 from folioflow.operators.search import search_text, search_vector
 from folioflow.operators.text_index import build_text_index, search_index
 from folioflow.operators.vector_index import build_vector_index, search_cells
-from folioflow.session import join_path, shared_dir
+from folioflow.session import cut_lineage, join_path, shared_dir
 
 _MISSING = """
     m AS (SELECT doc_id, source AS brand, lang = 'fr' OR coalesce(toxic, 0) = 1 AS no_title, coalesce(quality, 1) = 0 AS no_body,
@@ -274,13 +275,14 @@ def q_rejects(spark: SparkSession, d: str) -> DataFrame:
     return marked.select("doc_id", F.col("_reject_reason").alias("reason"))
 
 
-@check(
-    """
+_LIST_SQL = """
     WITH i AS (SELECT doc_id, lang, source, '2024-0' || (1 + doc_id % 9) || '-1' || (doc_id % 7) AS date_published, CASE WHEN doc_id % 3 = 0 THEN source END AS author FROM documents)
     SELECT doc_id, source AS brand, lang AS category, date_published FROM i
     WHERE lang = 'en' AND author = 'src3' AND date_published >= '2024-02-01' AND date_published <= '2024-08-31'
     """
-)
+
+
+@check(_LIST_SQL)
 def q_list(spark: SparkSession, d: str) -> DataFrame:
     hits = list_items(
         doc_items(spark, d), category="en", author="src3", published_from="2024-02-01", published_to="2024-08-31"
@@ -288,6 +290,24 @@ def q_list(spark: SparkSession, d: str) -> DataFrame:
     return hits.select("doc_id", "brand", "category", "date_published")
 
 
+@check(_LIST_SQL)
+def q_list_pages(spark: SparkSession, d: str) -> DataFrame:
+    """The same list page by page, from a table in curve order."""
+    path = join_path(shared_dir(spark), f"curve-{uuid.uuid4().hex}")
+    write_clustered(doc_items(spark, d), path)
+    lake = spark.read.parquet(path)
+    size = max(5, lake.count() // 200)
+    wanted = {"category": "en", "author": "src3", "published_from": "2024-02-01", "published_to": "2024-08-31"}
+    pages, last = None, None
+    while True:
+        page = cut_lineage(list_page(lake, size, last, **wanted).select("doc_id", "brand", "category", "date_published", "source_url"))
+        pages = page if pages is None else pages.unionByName(page)
+        end = page.orderBy(F.asc("date_published"), F.desc("brand"), F.desc("source_url")).first()
+        if end is None:
+            return pages.select("doc_id", "brand", "category", "date_published")
+        last = end.asDict()
+
+
 @check(
     """
     SELECT doc_id, text FROM documents WHERE doc_id IN (SELECT user_id FROM events WHERE value > 20)
