@@ -23,6 +23,7 @@ from folioflow.operators.discovery import (
     seed_by_table,
     two_hop,
 )
+from folioflow.operators.rule_index import filter_urls_by_index, index_rules, prefix_category_by_table
 from folioflow.rules import SiteRules
 from folioflow.session import spread_small
 from folioflow.sources.sitemap import sitemap_urls
@@ -78,6 +79,42 @@ def q_url_filter_table(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@check(
+    f"""
+    WITH p AS (SELECT page_id, {_SITE} AS site, url, regexp_extract(url, '^[a-z]+://[^/]*(.*)$', 1) AS rest FROM pages)
+    SELECT page_id, site, url FROM p WHERE (site <> 'net' OR contains(url, '/en/'))
+        AND NOT EXISTS (SELECT 1 FROM p r WHERE r.page_id % 3 = 0 AND r.site = p.site AND r.rest = p.rest)
+    """
+)
+def q_url_filter_many(spark: SparkSession, d: str) -> DataFrame:
+    """A pattern for every third page, each of which excludes one address, and one that is tried everywhere."""
+    pages = _domain_pages(spark, d).select("page_id", "site", "url")
+    rest = F.regexp_extract("url", "^[a-z]+://[^/]*(.*)$", 1)
+    quoted = F.regexp_replace(rest, "([^A-Za-z0-9/])", r"\\$1")
+    rules = pages.filter(F.col("page_id") % 3 == 0).select(
+        "site", F.lit("exclude").alias("kind"), F.concat(F.lit("^[a-z]+://[^/]*"), quoted, F.lit("$")).alias("pattern")
+    )
+    rules = rules.unionByName(spark.createDataFrame([("net", "include", "/en/")], rules.schema))
+    return filter_urls_by_index(pages, index_rules(rules)).select("page_id", "site", "url")
+
+
+@check(
+    r"""
+    WITH p AS (SELECT page_id, url, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+    r AS (SELECT DISTINCT regexp_extract(path, '^(.*/)', 1) AS prefix FROM p UNION SELECT DISTINCT regexp_extract(path, '^(/[^/]*/)', 1) FROM p)
+    SELECT page_id, url, coalesce((SELECT arg_max(prefix, length(prefix)) FROM r WHERE starts_with(p.path, prefix)), '') AS category FROM p
+    """
+)
+def q_prefix_table(spark: SparkSession, d: str) -> DataFrame:
+    """Categories from a table of all folders of all pages: the longest one of a page is its category."""
+    pages = table(spark, d, "pages").select(F.lit("s").alias("site"), "page_id", "url")
+    path = F.regexp_extract("url", "^[a-z]+://[^/?#]*([^?#]*)", 1)
+    folders = F.explode(F.array(F.regexp_extract(path, "^(.*/)", 1), F.regexp_extract(path, "^(/[^/]*/)", 1)))
+    rules = pages.select("site", folders.alias("prefix")).distinct()
+    rules = rules.select("site", (-F.length("prefix")).alias("ord"), "prefix", F.col("prefix").alias("label"))
+    return prefix_category_by_table(pages, rules).select("page_id", "url", "category")
+
+
 @check(f"WITH {_NAV_SQL} SELECT page_id, site, from_url, pos, url FROM nav")
 def q_links(spark: SparkSession, d: str) -> DataFrame:
     return _nav_links(spark, d).select("page_id", "site", "from_url", "pos", "url")
