@@ -20,6 +20,7 @@ from folioflow.operators.quality import (
 )
 from folioflow.session import join_path, shared_dir
 from folioflow.streaming.changes import run_changes, state_session
+from folioflow.streaming.shared_view import SharedView, fold_batch
 from folioflow.streaming.state import SeenTable
 
 _ORDER = ("ts", "event_id")
@@ -152,6 +153,37 @@ def q_state_replay(spark: SparkSession, d: str) -> DataFrame:
     return store.before(2, parts[2].select("brand", "url")).select("url", "content_hash")
 
 
+@check(
+    """
+    WITH e AS (SELECT user_id, 'b' || user_id % 3 AS brand, sha256(event_type || user_id % 4) AS hash, ts, event_id, event_id % 3 AS part FROM events),
+    s AS (SELECT turn, part AS batch, brand, '/user/' || user_id AS url, arg_max(hash, (ts, event_id)) AS hash
+          FROM e, range(3) r(turn) WHERE part <= turn GROUP BY turn, part, brand, user_id),
+    c AS (SELECT turn, brand, url, arg_max(hash, batch) AS hash FROM s GROUP BY turn, brand, url)
+    SELECT turn AS batch, brand, hash AS content_hash, count(*) AS n_urls, min(url) AS first_url, max(url) AS last_url
+    FROM c GROUP BY turn, brand, hash HAVING count(*) > 1
+    """
+)
+def q_shared_view(spark: SparkSession, d: str) -> DataFrame:
+    """Shared content after each of three batches, from what each changed; the last one comes twice."""
+    events = table(spark, d, "events").select(
+        (F.col("event_id") % 3).alias("part"),
+        "event_id",
+        F.col("ts").cast("timestamp").alias("ts"),
+        text("=b", F.col("user_id") % 3).alias("brand"),
+        text("=/user/", "user_id").alias("_key"),
+        F.sha2(text("event_type", F.col("user_id") % 4), 256).alias("_content_hash"),
+    )
+    root = join_path(shared_dir(spark), f"shared-{uuid.uuid4().hex}")
+    state, view = SeenTable(spark, join_path(root, "seen")), SharedView(spark, join_path(root, "shared"))
+    found = []
+    for n in (0, 1, 2, 2):
+        fold_batch(latest_state(events.filter(F.col("part") == n), order=_ORDER, seen_at="ts"), state, view, n)
+        if n == 1:
+            view.compact(0)
+        found = [*found[:n], view.shared(n).withColumn("batch", F.lit(n).cast("long"))]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 @check("SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS n FROM events")
 def q_rank_hot(spark: SparkSession, d: str) -> DataFrame:
     """Positions inside five big groups, each cut into ordered buckets."""

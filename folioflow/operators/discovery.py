@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from folioflow.functions.urls import query_param, query_param_slot, resolve_url
 from folioflow.operators.extraction import dom_select, listing_fields
 from folioflow.rules import Rules, SiteRules, allowed_by_rules, by_site
-from folioflow.session import broadcast_if_small, cut_lineage
+from folioflow.session import broadcast_if_small, cut_counted, cut_lineage
 
 PAGE_CHUNK = 10_000
 MAX_LITERAL_SEEDS = 5000
@@ -213,8 +213,8 @@ def follow_next(seeds: DataFrame, edges: DataFrame, max_steps: int | None = None
             ahead = ahead.filter(F.col("depth") <= max_steps)
         # Everything nearer than ``length`` is known already, so only pages without a depth are new.
         fresh = first_seen(ahead, order=["depth", "ord"]).join(reached.select("site", "url"), ["site", "url"], "left_anti")
-        fresh = cut_lineage(fresh.select(*columns))
-        if fresh.isEmpty():
+        fresh, n = cut_counted(fresh.select(*columns))
+        if not n:
             break
         reached = reached.unionByName(fresh)
         onward = jumps.select("site", F.col("from_url").alias("url"), F.col("url").alias("_to"))
@@ -241,10 +241,10 @@ def reachable(
         sources = frontier.select("site", F.col("url").alias("from_url"))
         step = links(sources) if callable(links) else links.join(sources, ["site", "from_url"], "left_semi")
         targets = step.select("site", "url").distinct()
-        frontier = cut_lineage(
+        frontier, n = cut_counted(
             targets.join(visited.select("site", "url"), ["site", "url"], "left_anti").withColumn("depth", F.lit(depth))
         )
-        if frontier.isEmpty():
+        if not n:
             break
         visited = visited.unionByName(frontier)
     return visited

@@ -38,7 +38,7 @@ from folioflow.operators.items import assemble_items
 from folioflow.operators.quality import assign_file_names, base_name, detect_changes, drop_unchanged, latest_state
 from folioflow.plans.link_graph import KEYS, LISTING, PLAIN, GraphStore, grow, next_edges, start_listings
 from folioflow.rules import Rules, by_site
-from folioflow.session import cut_lineage, join_path, spread_small
+from folioflow.session import cut_lineage, join_path, passing_cuts, spread_small
 from folioflow.sources.items import write_items
 from folioflow.sources.sitemap import sitemap_urls
 from folioflow.streaming.state import COMPACT_EVERY, NameTable, SeenTable
@@ -184,6 +184,11 @@ def run_batch(
     passes its site's URL filter is one. Items are written before names and state, so a run
     that stops half-way loses nothing.
     """
+    with passing_cuts(store.spark):
+        _run_batch(pages, rules, store, batch, crawl_links, skip_captcha)
+
+
+def _run_batch(pages: DataFrame, rules: Rules, store: RunStore, batch: int, crawl_links: bool, skip_captcha: bool) -> None:
     staged = stage_pages(pages, rules, store.staged(batch), skip_captcha, batch)
     links = None
     if crawl_links:

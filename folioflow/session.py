@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import pathlib
 import tempfile
+import threading
 import uuid
 import zipfile
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Settings every job of this library wants; a cluster may override any of them.
@@ -26,6 +29,7 @@ DEFAULTS = {
 SMALL_SPLIT_BYTES = 16 * 1024 * 1024
 
 _SHIPPED: set[str] = set()
+_LOCAL = threading.local()  # scopes of one thread never take in tables of another
 
 
 def build_session(app: str = "folioflow", master: str | None = None, **conf: str) -> SparkSession:
@@ -78,13 +82,45 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     path = join_path(shared_dir(df.sparkSession), uuid.uuid4().hex)
     df.write.parquet(path)
+    for scope in _scopes():
+        scope.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cut_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``cut_lineage`` and the number of rows, which the write itself counts."""
+    seen = Observation()
+    out = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return out, seen.get["n"]
+
+
+@contextlib.contextmanager
+def passing_cuts(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are deleted at the end: nothing read later may depend on them."""
+    scope: list[str] = []
+    _scopes().append(scope)
+    try:
+        yield
+    finally:
+        _scopes().pop()
+        for path in scope:
+            _delete(spark, path)
+
+
+def _scopes() -> list[list[str]]:
+    if not hasattr(_LOCAL, "scopes"):
+        _LOCAL.scopes = []
+    return _LOCAL.scopes
+
+
 def drop_cuts(spark: SparkSession) -> None:
     """Delete the intermediate tables of this application."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, shared_dir(spark))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
 
 
 def estimated_bytes(df: DataFrame) -> int:

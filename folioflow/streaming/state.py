@@ -24,7 +24,7 @@ from folioflow.operators.quality import merge_intervals, number_intervals, parse
 from folioflow.session import join_path
 
 COMPACT_EVERY = 20
-MIN_BUCKETS, MAX_BUCKETS = 16, 4096
+MIN_BUCKETS, MAX_BUCKETS = 4, 4096
 BUCKET = "_bucket"
 
 

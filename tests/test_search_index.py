@@ -34,7 +34,7 @@ def test_text_index_equals_the_scan(spark, tmp_path):
     # Another search reads the postings of its words, in their folders alone.
     own = postings_of(spark, path, "blocks", ["w2", "nowhere"])
     assert {r.term for r in own.select("term").distinct().collect()} == {"w2"}
-    every = spark.read.parquet(f"{tmp_path}/index/buckets=16/blocks")
+    every = spark.read.parquet(f"{tmp_path}/index/buckets=8/blocks")
     plan = own._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [_bucket" in plan and "PushedFilters: [In(term" in plan
     assert own.count() < every.count() / 20

@@ -12,6 +12,8 @@ from folioflow.operators.lake import upsert_table
 from folioflow.operators.quality import assign_file_names, merge_intervals, number_intervals
 from folioflow.plans.link_graph import GraphStore, grow
 from folioflow.rules import SiteRules
+from folioflow.session import cut_counted, cut_lineage, passing_cuts
+from folioflow.streaming.shared_view import SharedView, fold_batch
 from folioflow.streaming.state import NameTable, SeenTable
 
 T0 = datetime(2024, 6, 1)
@@ -137,3 +139,29 @@ def test_upsert_keeps_its_number_of_buckets(spark, tmp_path):
     stored = spark.read.parquet(path)
     assert stored.count() == 30 == stored.select("_key").distinct().count()
     assert stored.filter(F.col("_content_hash") == "b").count() == 20
+
+
+def test_shared_view_follows_what_a_batch_changes(spark, tmp_path):
+    rng = random.Random(2)
+    state, view = SeenTable(spark, str(tmp_path / "seen"), 4), SharedView(spark, str(tmp_path / "shared"), 4)
+    now: dict[tuple[str, str], str] = {}
+    for n in range(3):
+        part = {(rng.choice("ab"), f"/u/{rng.randint(0, 15)}"): rng.choice(["", "h1", "h2", "h3"]) for _ in range(12)}
+        rows = [(b, u, h, T0) for (b, u), h in part.items()]
+        fold_batch(spark.createDataFrame(rows, SEEN), state, view, n)
+        now |= part
+        held: dict[tuple[str, str], list[str]] = {}
+        for (b, u), h in now.items():
+            held.setdefault((b, h), []).append(u)
+        want = sorted((b, h, len(us), min(us), max(us)) for (b, h), us in held.items() if h and len(us) > 1)
+        assert sorted(map(tuple, view.shared(n).collect())) == want
+
+
+def test_cuts_of_a_scope_pass(spark):
+    with passing_cuts(spark):
+        inside, n = cut_counted(spark.range(7))
+        assert n == 7 == inside.count()
+    outside = cut_lineage(spark.range(3))
+    assert outside.count() == 3
+    with pytest.raises(Exception, match="(?i)not.exist"):
+        spark.read.schema("id long").parquet(inside.inputFiles()[0]).count()
