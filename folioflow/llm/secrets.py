@@ -21,6 +21,8 @@ empty result and the threshold that lets nothing pass.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +37,7 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 CHANGE_RATE, FDR, MEAN_LENGTH = 0.08, 0.001, 32
 #: The battery rejects randomness above this z (about 1 in 10,000).
 MAX_Z = 3.8
+CHUNK = 2048  # code points
 STEPS = 400  # p-values are counted in steps of a tenth of a power of ten
 SPANS = "array<struct<start:int,kind:int,end:int,name:string>>"
 
@@ -43,28 +46,54 @@ def _none() -> Column:
     return F.array().cast(SPANS)
 
 
-def _spans(text: Column, pattern: str, kind: int, name: str) -> Column:
-    """Spans of all matches: lengths of what lies between the matches give the positions."""
-    between = F.transform(F.split(text, pattern, -1), F.length)
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once, also where ``use`` has it inside a loop."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _running(values: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """Running totals of an array under ``add``: a scan by doubling steps, n log n in all."""
+
+    def step(acc: Column, k: Column) -> Column:
+        back = F.call_function("shiftleft", F.lit(1), k)
+        return F.transform(acc, lambda x, i: F.when(i < back, x).otherwise(add(x, F.get(acc, i - back))))
+
+    rounds = lambda v: F.filter(F.sequence(F.lit(0), F.lit(30)), lambda k: F.call_function("shiftleft", F.lit(1), k) < F.size(v))
+    return _bind(values, lambda v: F.aggregate(rounds(v), v, step))
+
+
+def _matches(text: Column, pattern: str) -> Column:
+    """All matches as ``start, end, token``: lengths of what lies between the matches give the positions."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    both = F.arrays_zip(between.alias("gap"), F.transform(found, F.length).alias("len"))
-    empty = F.struct(F.lit(0).alias("at"), _none().alias("out"))
+    parts = F.zip_with(
+        found,
+        F.split(text, pattern, -1),
+        lambda m, gap: F.struct((F.length(gap) + F.length(m)).alias("step"), m.alias("token")),
+    )
+    parts = F.filter(parts, lambda x: x["token"].isNotNull())
+
+    def place(x: Column, end: Column) -> Column:
+        return F.struct((end - F.length(x["token"])).alias("start"), end.alias("end"), x["token"].alias("token"))
 
-    def add(acc, x):
-        start = acc["at"] + x["gap"]
-        end = start + F.coalesce(x["len"], F.lit(0))
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), F.lit(name).alias("name"))
-        return F.struct(end.alias("at"), F.when(x["len"].isNotNull(), F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+    return _bind(parts, lambda p: F.zip_with(p, _running(p.getField("step"), lambda a, b: a + b), place))
 
-    zipped = F.transform(both, lambda x: F.struct(x.getField("gap").alias("gap"), x.getField("len").alias("len")))
-    spans = F.aggregate(zipped, empty, add, lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), spans).otherwise(_none())
+
+def _as_span(x: Column, kind: int, name: str) -> Column:
+    return F.struct(x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end"), F.lit(name).alias("name"))
+
+
+def _spans(text: Column, pattern: str, kind: int, name: str, fits: Callable[[Column], Column] | None = None) -> Column:
+    """Spans of the matches, or of those whose token ``fits``."""
+    found = _matches(text, pattern)
+    if fits is not None:
+        found = F.filter(found, lambda x: fits(x["token"]))
+    return F.when(text.rlike(pattern), F.transform(found, lambda x: _as_span(x, kind, name))).otherwise(_none())
 
 
 def base_spans(text: Column) -> tuple[Column, Column, Column]:
     """Spans of the three base kinds, each by position."""
-    secrets = F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))
-    assign = F.filter(_spans(text, ASSIGN, 0, "assign"), lambda s, i: F.length(F.get(secrets, i)) >= 12)
+    long = lambda token: F.length(F.regexp_extract(token, ASSIGN, 2)) >= 12
+    assign = _spans(text, ASSIGN, 0, "assign", long)
     return assign, _spans(text, ACCESS, 1, "access"), _spans(text, HEX, 2, "hex")
 
 
@@ -112,8 +141,8 @@ def battery(token: Column) -> Column:
 
     def finish(s):
         n, at, k = s["n"], s["at"], s["k"]
-        mid, mean = (k + 1) / 2, F.aggregate(at, F.lit(0.0), lambda a, x: a + x) / n
-        pairs = F.zip_with(F.slice(at, F.lit(1), n.cast("int") - 1), F.slice(at, F.lit(2), n.cast("int")), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        mid, mean = (k + 1) / 2, s["mean"]
+        pairs = s["pairs"]
         high = F.aggregate(at, F.lit(0.0), lambda a, x: a + F.when(x > mid, 1.0).otherwise(0.0))
         runs = 1 + F.aggregate(pairs, F.lit(0.0), lambda a, x: a + F.when((x["a"] > mid) != (x["b"] > mid), 1.0).otherwise(0.0))
         both = 2 * high * (n - high)
@@ -124,8 +153,17 @@ def battery(token: Column) -> Column:
         z_serial = F.abs(serial + 1 / n) * F.sqrt(n)
         return F.greatest(s["chi"], z_runs, z_serial)
 
-    ctx = F.array(F.struct(F.regexp_replace(token, "[=]+$", "").alias("body"), _alphabet(token).alias("letters")))
-    return F.get(F.transform(F.transform(ctx, of), finish), F.lit(0))
+    def centre(s):
+        mean = F.aggregate(s["at"], F.lit(0.0), lambda a, x: a + x) / s["n"]
+        pairs = F.zip_with(
+            F.slice(s["at"], F.lit(1), s["n"].cast("int") - 1),
+            F.slice(s["at"], F.lit(2), s["n"].cast("int")),
+            lambda a, b: F.struct(a.alias("a"), b.alias("b")),
+        )
+        return F.struct(s["chi"], s["at"], s["n"], s["k"], mean.alias("mean"), pairs.alias("pairs"))
+
+    ctx = F.struct(F.regexp_replace(token, "[=]+$", "").alias("body"), _alphabet(token).alias("letters"))
+    return _bind(_bind(_bind(ctx, of), centre), finish)
 
 
 def _weighted(token: Column) -> Column:
@@ -153,24 +191,32 @@ def discovery_threshold(docs: DataFrame, text: str = "text", fdr: float = FDR) -
 
 def random_spans(text: Column, threshold: float) -> Column:
     """Spans of candidates that pass the threshold and the battery, of kind ``random``."""
-    def passes(s):
-        token = F.substring(text, s["start"] + 1, s["end"] - s["start"])
+    def passes(token):
         # Length alone makes no secret: a run of one mark, however long, has no p-value.
         return F.when((text_p_value(token) > 0) & (_weighted(token) >= threshold), battery(token) <= MAX_Z).otherwise(False)
 
-    return F.filter(_spans(text, CANDIDATE, 3, "random"), passes)
+    return _spans(text, CANDIDATE, 3, "random", passes)
 
 
-def scan_secrets(docs: DataFrame, text: str = "text", threshold: float | None = None) -> DataFrame:
-    """Add ``secret_spans``: base spans, and random ones that no base span covers whole, by start and kind."""
+def scan_secrets(
+    docs: DataFrame, text: str = "text", threshold: float | None = None, name: str = "secret_spans"
+) -> DataFrame:
+    """Add the column ``name``: base spans, and random ones that no base span covers whole, by start and kind.
+
+    A column of that name in ``docs`` is replaced.
+    """
     threshold = discovery_threshold(docs, text) if threshold is None else threshold
     rows = docs.withColumn("_llm_text", whole(text))
     t = F.col("_llm_text")
-    assign, access, hexes = base_spans(t)
-    rows = rows.withColumns({"_llm_base": F.concat(assign, access, hexes), "_llm_rnd": random_spans(t, threshold)})
-    base = F.col("_llm_base")
-    fresh = F.filter("_llm_rnd", lambda r: ~F.exists(base, lambda b: (b["start"] <= r["start"]) & (r["end"] <= b["end"])))
-    return rows.withColumn("secret_spans", F.sort_array(F.concat(base, fresh))).drop("_llm_text", "_llm_base", "_llm_rnd")
+    every = F.sort_array(F.concat(*base_spans(t), random_spans(t, threshold)))
+
+    def fresh(spans: Column) -> Column:
+        # In this order, base spans that begin no later come first: the farthest end of them decides.
+        reach = _running(F.transform(spans, lambda s: F.when(s["kind"] < 3, s["end"]).otherwise(0)), F.greatest)
+        told = F.zip_with(spans, reach, lambda s, far: F.struct(s.alias("s"), ((s["kind"] < 3) | (s["end"] > far)).alias("own")))
+        return F.transform(F.filter(told, lambda x: x["own"]), lambda x: x["s"])
+
+    return rows.withColumn(name, _bind(every, fresh)).drop("_llm_text")
 
 
 def listed(spans: Column) -> Column:
@@ -180,15 +226,29 @@ def listed(spans: Column) -> Column:
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by a mark; other texts are untouched."""
-    rows = scan_secrets(docs, text)
-    spans, t = F.col("secret_spans"), F.col(f"`{text}`")
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def cut(acc, s):
-        fresh = s["end"] > acc["at"]
-        gap = F.substring(t, acc["at"] + 1, F.greatest(F.lit(0), s["start"] - acc["at"]))
-        out = F.when(s["start"] >= acc["at"], F.concat(acc["out"], gap, F.lit(mark))).otherwise(acc["out"])
-        return F.struct(out.alias("out"), F.when(fresh, s["end"]).otherwise(acc["at"]).alias("at"))
-
-    clean = F.aggregate(spans, start, cut, lambda acc: F.concat(acc["out"], F.substring(t, acc["at"] + 1, F.length(t))))
-    return rows.withColumn(text, F.when(F.size(spans) > 0, clean).otherwise(t)).drop("secret_spans")
+    rows = scan_secrets(docs, text, name="_llm_spans")
+    spans, t = F.col("_llm_spans"), F.col(f"`{text}`")
+
+    def cut(ctx: Column) -> Column:
+        def piece(start: Column, end: Column | None) -> Column:
+            first = F.floor(start / CHUNK).cast("int")
+            n = F.lit(2**30) if end is None else F.floor(end / CHUNK).cast("int") - first + 1
+            near = F.array_join(F.slice(ctx["chunks"], first + 1, n), "")
+            return F.substring(near, start - first * CHUNK + 1, F.lit(2**30) if end is None else end - start)
+
+        reach = ctx["reach"]
+        told = F.transform(
+            ctx["spans"], lambda s, i: F.struct(s["start"].alias("start"), F.when(i > 0, F.get(reach, i - 1)).otherwise(0).alias("at"))
+        )
+        # A span that begins inside an earlier one belongs to the same mark.
+        heads = F.filter(told, lambda s: s["start"] >= s["at"])
+        kept = F.transform(heads, lambda s: F.concat(piece(s["at"], s["start"]), F.lit(mark)))
+        return F.concat(F.array_join(kept, ""), piece(F.element_at(reach, -1), None))
+
+    # Chunks keep a cut near its place: a position in a long string is counted from its start.
+    ctx = F.struct(
+        spans.alias("spans"),
+        _running(F.transform(spans, lambda s: s["end"]), F.greatest).alias("reach"),
+        F.regexp_extract_all(t, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)).alias("chunks"),
+    )
+    return rows.withColumn(text, F.when(F.size(spans) > 0, _bind(ctx, cut)).otherwise(t)).drop("_llm_spans")

@@ -143,3 +143,40 @@ def test_long_runs_and_runs_beside_base_spans(spark):
         assert (2, 3, 2 + len(t), "random") in found[i]
         assert [s for s in found[i] if s[1] < 3] == sorted(base(values[i]))
     assert {r.text for r in secrets.redact(docs).collect()} == {"a [SECRET] b"}
+
+
+def test_dump_of_many_keys_in_one_text(spark):
+    rng = random.Random(15)
+    draw = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    keys = [draw("0123456789abcdef", 32) if i % 3 else draw(ALPHABETS["base64"], 44) for i in range(50_000)]
+    text = "".join(f"é {k}\n" for k in keys)
+    blob = "x " + draw(ALPHABETS["base64"], 40_000) + " y"
+    docs = spark.createDataFrame([(0, text, None, None, None), (1, blob, None, None, None)], DOCS)
+    rows = {r.doc_id: r for r in secrets.scan_secrets(docs, threshold=3.0).collect()}
+    spans = [tuple(s) for s in rows[0].secret_spans]
+    assert [s for s in spans if s[1] < 3] == sorted(base(text))
+    own = {(m.start(), m.end()) for m in re.finditer(secrets.CANDIDATE, text)}
+    fresh = [s for s in spans if s[1] == 3]
+    assert len(fresh) > 10_000 and all((s[0], s[2]) in own for s in fresh)
+    assert (2, 3, 40_002, "random") in [tuple(s) for s in rows[1].secret_spans]
+    clean = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert clean[1] == "x [SECRET] y"
+    left, lines = 0, clean[0].split("\n")
+    for k, line in zip(keys, lines, strict=False):
+        left += line != "é [SECRET]"
+        assert line in ("é [SECRET]", f"é {k}") or len(k) == 44
+    assert len(lines) == 50_001 and left < 5_000
+
+
+def test_redaction_equals_a_plain_cut(spark):
+    values = [v for v in (*random_texts(), "deadbeef" * 600 + " é " + "AKIA" + "Z9" * 1500) if v]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(values)], DOCS)
+    threshold = secrets.discovery_threshold(docs)
+    spans = {r.doc_id: r.secret_spans for r in secrets.scan_secrets(docs, threshold=threshold).collect()}
+    for r in secrets.redact(docs.withColumn("secret_spans", F.lit("own"))).collect():
+        out, at, text = "", 0, values[r.doc_id]
+        for s in spans[r.doc_id]:
+            if s.start >= at:
+                out += text[at : s.start] + "[SECRET]"
+            at = max(at, s.end)
+        assert r.text == out + text[at:] and r.secret_spans == "own"
