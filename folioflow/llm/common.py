@@ -14,6 +14,7 @@ from folioflow.session import cut_lineage, ship_package
 #: Words are runs of anything but ASCII white space (Java and Python syntax).
 WORD = r"[^\x20\x09-\x0D]+"
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+FOREST_NODES = 500_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -44,6 +45,17 @@ def row_key(df: DataFrame) -> DataFrame:
     )
 
 
+def hash_sample(df: DataFrame, key: Column, n: int, most: int, *ties: str) -> DataFrame:
+    """The ``most`` rows of ``df`` (``n`` rows, ``key`` a hash) with the least keys.
+
+    A bound on the hash leaves little more than ``most`` rows in all before they are put in order,
+    so what tasks hand on does not grow with their number.
+    """
+    share = (most + 8 * most**0.5 + 64) / max(1, n)
+    near = df.filter(key <= F.lit(int(share * 2**64) - 2**63).cast("long")) if share < 1 else df
+    return near.orderBy(key, *ties).limit(most)
+
+
 def ship(df: DataFrame) -> None:
     """Make this package importable on the executors before a Python stage.
 
@@ -73,8 +85,8 @@ def byte_lengths(values: pa.Array) -> np.ndarray:
     return pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def _forest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges of one partition to ``(node, smallest node of its tree)``."""
+def _forest(batches: Iterable[pa.RecordBatch], most: int = FOREST_NODES) -> Iterator[pa.RecordBatch]:
+    """Edges of one partition to ``(node, smallest node of its tree)``, a forest for about ``most`` nodes at a time."""
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -85,6 +97,12 @@ def _forest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parent[x], x = top, parent[x]
         return top
 
+    def trees() -> pa.RecordBatch:
+        nodes = [x for x in parent if root(x) != x]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(nodes, pa.int64()), pa.array([root(x) for x in nodes], pa.int64())], ["a", "b"]
+        )
+
     for batch in batches:
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             parent.setdefault(a, a)
@@ -92,18 +110,20 @@ def _forest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a, b = root(a), root(b)
             if a != b:
                 parent[max(a, b)] = min(a, b)
-    nodes = [x for x in parent if root(x) != x]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(nodes, pa.int64()), pa.array([root(x) for x in nodes], pa.int64())], ["a", "b"]
-    )
+        if len(parent) >= most:
+            yield trees()
+            parent.clear()
+    yield trees()
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``(node, root)`` for every node of ``edges(a, b)``; root is the smallest node reachable.
 
     Each partition first contracts its own edges to a forest. Then large-star and
-    small-star steps alternate; every round is a written table, and the loop ends when a
-    round changes nothing. Stars of any size are aggregates and joins, never one group.
+    small-star steps alternate; every step is a written table, and the loop ends when a
+    round changes nothing. All edges of a component may stand under one root: least
+    neighbours are aggregates that shrink before the shuffle, and as they are written, the
+    join with them reads two plain exchanges, which adaptive execution splits at a hot root.
     """
     ship(edges)
     slim = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a <> b")
@@ -113,12 +133,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     before = None
     for _ in range(max_rounds):
         both = now.union(now.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m"))
-        least = least.select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.distinct()
+        least = cut_lineage(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
+        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = cut_lineage(large.distinct())
         # Every row now points down (a > b): the small star of a has its smaller neighbours only.
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = cut_lineage(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(least, "a").select(
             F.explode(F.array(F.struct("a", "m"), F.struct(F.col("b").alias("a"), "m"))).alias("e")
         )

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.common import components, ship
+from folioflow.llm.common import components, hash_sample, ship
 from folioflow.session import cut_lineage
 
 LEAST = 0.98
@@ -124,7 +124,7 @@ def train(own: DataFrame, sample: int = SAMPLE, list_rows: int = LIST_ROWS) -> d
     """A quantiser for each vector length of the sample (at most ``sample`` classes, by hash)."""
     n, labels = own.agg(F.count("*"), F.approx_count_distinct("label")).first()
     lists = int(min(LISTS, max(1, round(n / max(1, labels) / list_rows))))
-    some = own.orderBy(F.xxhash64("k1"), "cid").limit(sample).select("dim", "vec").toArrow()
+    some = hash_sample(own, F.xxhash64("k1"), n, sample, "cid").select("dim", "vec").toArrow()
     dims = some.column("dim").to_numpy()
     vectors = _vectors(some.column("vec"))
     return {

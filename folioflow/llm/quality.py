@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from folioflow.llm.common import crc_fold, ship
+from folioflow.llm.common import crc_fold, hash_sample, ship
 from folioflow.session import cut_lineage
 
 MAX_LABELLED = 20_000
@@ -193,13 +193,20 @@ def score_column(column: str | Column, model: Additive | None) -> Column:
 
 
 def train(known: DataFrame, labels: DataFrame, doc_id: str = "doc_id", fold: int | None = 1) -> Additive | None:
-    """A model from ``known(doc_id, x)`` and the labels; rows of ``fold`` (of three) are left out."""
+    """A model from ``known(doc_id, x)`` and the labels; rows of ``fold`` (of three) are left out.
+
+    The sample is settled on ids alone: at most ``MAX_LABELLED`` of the labelled ids that ``known``
+    has, and for an id with several rows its least features.
+    """
     own = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("_llm_y"))
     own = own.withColumnRenamed("doc_id", "_llm_id")
     if fold is not None:
         own = own.filter(crc_fold("_llm_id", 3) != fold)
-    rows = known.join(own, F.col(doc_id) == F.col("_llm_id")).select("x", "_llm_y", "_llm_id")
-    some = rows.orderBy(F.xxhash64("_llm_id"), "_llm_id", "x").limit(MAX_LABELLED).toPandas()
+    present = known.select(F.col(doc_id).alias("_llm_id")).distinct()
+    own = cut_lineage(own.join(present, "_llm_id", "left_semi"))
+    picked = hash_sample(own, F.xxhash64("_llm_id"), own.count(), MAX_LABELLED, "_llm_id")
+    rows = known.join(F.broadcast(picked), F.col(doc_id) == F.col("_llm_id"))
+    some = rows.groupBy("_llm_id", "_llm_y").agg(F.min("x").alias("x")).orderBy("_llm_id").toPandas()
     if some.empty:
         return None
     return fit(np.stack(some["x"].to_numpy()), (some["_llm_y"] == 1).to_numpy(np.float64))

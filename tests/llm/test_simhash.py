@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 import pytest
 import xxhash
 from llm.helpers import DOCS, documents, texts
+from pyspark.sql import functions as F
 
 from folioflow.llm import simhash
-from folioflow.llm.common import components
+from folioflow.llm.common import _forest, components, hash_sample
 
 
 def naive(text):
@@ -86,3 +88,33 @@ def test_components_of_chains_and_stars(spark):
     edges = spark.createDataFrame(chain + star + [(9000, 9000)], "a long, b long").repartition(16)
     got = {r.node: r.root for r in components(edges).collect()}
     assert got == {i: 1 for i in range(1, 400)} | {1000 + i: 1000 for i in range(300)} | {5000: 1000}
+
+
+def test_forest_in_pieces_keeps_components():
+    rng = random.Random(8)
+    edges = [(a, b) for a, b in ((rng.randrange(300), rng.randrange(300)) for _ in range(260)) if a != b]
+    batches = [pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in edges[i : i + 10]]) for i in range(0, len(edges), 10)]
+    whole, cut = (
+        [(r["a"], r["b"]) for out in _forest(iter(batches), most) for r in out.to_pylist()] for most in (10**6, 25)
+    )
+    nodes = {x for e in edges for x in e}
+    label = lambda pairs: smallest(nodes, lambda a, b, p={*pairs, *((b, a) for a, b in pairs)}: (a, b) in p)
+    assert label(edges) == label(whole) == label(cut)
+    assert len(whole) < len(edges)
+
+
+def test_star_under_one_root(spark):
+    n = 300_000
+    leaves = spark.range(1, n + 1, 1, 16).selectExpr("id as a", "0L as b")
+    chain = spark.range(0, 8, 1, 2).selectExpr("-id - 1 as a", "-id as b")  # the root has smaller ones below it
+    found = components(leaves.union(chain)).groupBy("root").count().collect()
+    assert [(r.root, r["count"]) for r in found] == [(-8, n + 9)]
+
+
+def test_sample_by_hash(spark):
+    rows = spark.range(0, 50_000, 1, 8)
+    key = F.xxhash64("id")
+    for n in (100, 60_000):
+        want = [r.id for r in rows.orderBy(key, "id").limit(n).collect()]
+        got = hash_sample(rows, key, 50_000, n, "id")
+        assert [r.id for r in got.collect()] == want
