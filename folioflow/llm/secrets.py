@@ -1,27 +1,33 @@
 """Secret scans: fixed patterns, and a battery of randomness tests on other long tokens.
 
 Patterns give the base spans. Any other run of ``[A-Za-z0-9+/_=-]`` of 20 characters or
-more is a candidate. Its encoding is inferred from its characters, and it is tested for
-
-* text-likeness: how often words, capitals and digits take turns (separators and the capital
-  of a word are no change); the Chernoff bound of that count under the rate of plain text is a
-  p-value that falls with length;
-* uniform use of its alphabet (chi-squared), runs above and below the middle of the
-  alphabet, and correlation of neighbouring symbols, each as a z value.
-
-A candidate is a secret if the battery does not contradict randomness and its p-value
-passes the false-discovery control over all candidates of the corpus, where a
-candidate's share of the error grows with its length. The control needs only counts per
-p-value step, so the corpus gives one threshold, and marking is local to the row.
+more is a candidate. Its encoding is inferred from its characters, and three statistics are
+taken of it: chi-squared of its symbols over that alphabet, runs (how often words, capitals
+and digits take turns), and the serial dependence of neighbouring letters. Each gives
+
+* a p-value under plain text, as the corpus itself has it (``learn_text``: how often each
+  symbol and each pair of letters stands in its words): chi-squared too small for text, too
+  many runs, neighbours that text does not put together;
+* a z value under a random token of that alphabet, where runs and correlation are those of
+  the symbols' places in the alphabet.
+
+The p-values are combined by Fisher's method. A candidate is a secret if the combined one
+passes the false-discovery control over all candidates of the corpus, where a candidate's
+share of the error grows with its length, and no z value contradicts randomness. The control
+needs only counts per p-value step, so the corpus gives one threshold, and marking is local
+to the row. Digits alone are as uniform in text as in a key: they give no evidence.
 
 Defined results: null and empty texts have no spans; repeated rows get equal results;
 positions are code points, end exclusive; extra columns are kept; an empty table gives an
-empty result and the threshold that lets nothing pass.
+empty result and the threshold that lets nothing pass. A corpus without words gives a model
+in which all symbols are equally usual.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +39,26 @@ KINDS = ("assign", "access", "hex")
 #: Maximal runs: asking for the least length in the pattern gives the same matches as dropping shorter ones.
 ACCESS, HEX = r"AKIA[A-Z0-9]{14,}", r"[0-9a-f]{16,}"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+#: Words that teach what text is: too short for a candidate, and no part of a longer run.
+WORD = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9]{2,19}(?![A-Za-z0-9+/_=-])"
+DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Usual encodings, by what a token has to look like; the first that fits is inferred.
+ALPHABETS = (
+    ("^[0-9]+$", DIGITS),
+    ("^[0-9a-f]+$", DIGITS + "abcdef"),
+    ("^[0-9A-F]+$", DIGITS + "ABCDEF"),
+    ("^[a-z]+$", LOWER),
+    ("^[A-Z]+$", UPPER),
+    ("^[A-Z2-7]+=*$", UPPER + "234567"),
+    ("^[0-9a-z]+$", DIGITS + LOWER),
+    ("^[0-9A-Z]+$", DIGITS + UPPER),
+    ("^[A-Za-z]+$", UPPER + LOWER),
+    ("^(?=.*[_-])[A-Za-z0-9_-]+=*$", UPPER + LOWER + DIGITS + "-_"),
+    ("^[A-Za-z0-9]+$", UPPER + LOWER + DIGITS),
+    ("", UPPER + LOWER + DIGITS + "+/"),
+)
+#: Share of letter pairs of text that are taken as independent, so that an unseen pair is no proof.
+LOOSE = 0.3
 #: Rate of class changes in plain text, error share, and the mean length that gets that share.
 CHANGE_RATE, FDR, MEAN_LENGTH = 0.08, 0.001, 32
 #: The battery rejects randomness above this z (about 1 in 10,000).
@@ -97,24 +123,117 @@ def base_spans(text: Column) -> tuple[Column, Column, Column]:
     return assign, _spans(text, ACCESS, 1, "access"), _spans(text, HEX, 2, "hex")
 
 
-def _alphabet(token: Column) -> Column:
-    """The smallest usual alphabet that holds all characters: the inferred encoding."""
-    digits, upper, lower = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    return (
-        F.when(token.rlike("^[0-9]+$"), F.lit(digits))
-        .when(token.rlike("^[0-9a-f]+$"), F.lit(digits + "abcdef"))
-        .when(token.rlike("^[0-9A-F]+$"), F.lit(digits + "ABCDEF"))
-        .when(token.rlike("^[A-Z2-7]+=*$"), F.lit(upper + "234567"))
-        .when(token.rlike("^[0-9a-z]+$"), F.lit(digits + lower))
-        .when(token.rlike("^[0-9A-Z]+$"), F.lit(digits + upper))
-        .when(token.rlike("^[A-Za-z0-9_-]+=*$") & token.rlike("[_-]"), F.lit(upper + lower + digits + "-_"))
-        .when(token.rlike("^[A-Za-z0-9]+$"), F.lit(upper + lower + digits))
-        .otherwise(F.lit(upper + lower + digits + "+/"))
-    )
+def _by_alphabet(token: Column, value: Callable[[str], Column]) -> Column:
+    """``value`` of the smallest usual alphabet that holds all characters: the inferred encoding."""
+    (first, letters), *more = ALPHABETS
+    out = F.when(token.rlike(first), value(letters))
+    for pattern, letters in more[:-1]:
+        out = out.when(token.rlike(pattern), value(letters))
+    return out.otherwise(value(more[-1][1]))
+
+
+class TextModel(NamedTuple):
+    """What plain text is like: shares of symbols, and for letters ``log(p(b after a) / p(b))``."""
+
+    shares: dict[str, float]
+    pairs: list[float]
+
+    def unevenness(self, letters: str) -> float:
+        """Chi-squared that text has over an alphabet, beyond its freedom, per symbol.
+
+        Where an alphabet has one case only, letters of both count: capitals spell the same words.
+        """
+        one = not set(LOWER) & set(letters) or not set(UPPER) & set(letters)
+        have = [sum(self.shares.get(x, 0.0) for x in ({c.lower(), c.upper()} if one else {c})) for c in letters]
+        return max(0.0, len(letters) * sum(p * p for p in have) / sum(have) ** 2 - 1) if sum(have) else 0.0
+
+
+def learn_text(docs: DataFrame, text: str = "text") -> TextModel:
+    """Counts of symbols and letter pairs over the words of all texts: at most 62 and 676 rows come to the driver.
+
+    Words are counted first, each partition for itself, so that a usual word costs one row.
+    """
+    words = docs.select(F.explode(F.regexp_extract_all(whole(text), F.lit(WORD), F.lit(0))).alias("w")).groupBy("w").count()
+    w, low = F.col("w"), F.lower("w")
+    single = F.transform(F.split(w, ""), lambda c: F.struct(F.lit(1).alias("n"), c.alias("gram")))
+    places = F.sequence(F.lit(1), F.length(w) - 1)
+    double = F.filter(F.transform(places, lambda i: F.substring(low, i, F.lit(2))), lambda g: g.rlike("^[a-z]{2}$"))
+    grams = F.concat(single, F.transform(double, lambda g: F.struct(F.lit(2).alias("n"), g.alias("gram"))))
+    rows = words.select("count", F.explode(grams).alias("g")).groupBy("g.n", "g.gram").agg(F.sum("count").alias("c")).collect()
+    return text_model({r["gram"]: r["c"] for r in rows})
+
+
+def text_model(counts: dict[str, int]) -> TextModel:
+    """The model of counted symbols (one character) and lower-case letter pairs (two)."""
+    symbols = UPPER + LOWER + DIGITS
+    total = sum(counts.get(c, 0) + 1 for c in symbols)
+    shares = {c: (counts.get(c, 0) + 1) / total for c in symbols}
+    after = {b: 1 + sum(counts.get(a + b, 0) for a in LOWER) for b in LOWER}
+    n, pairs = sum(after.values()), []
+    for a in LOWER:
+        before = sum(counts.get(a + b, 0) for b in LOWER)
+        for b in LOWER:
+            alone = after[b] / n
+            # Pseudo-counts: a letter seen a few times says little about what follows it.
+            seen = (counts.get(a + b, 0) + 26 * alone) / (before + 26)
+            pairs.append(math.log(LOOSE + (1 - LOOSE) * seen / alone))
+    return TextModel(shares, pairs)
+
+
+def _body(token: Column) -> Column:
+    return F.regexp_replace(token, "[=]+$", "")
+
+
+def _chi(body: Column, letters: Column) -> Column:
+    """Chi-squared of the symbols against equal use of the alphabet."""
+    n = F.length(body).cast("double")
+    squares = F.transform(F.split(letters, ""), lambda c: F.pow(n - F.length(F.replace(body, c, F.lit(""))), F.lit(2.0)))
+    return F.aggregate(squares, F.lit(0.0), lambda a, x: a + x) * F.length(letters) / F.greatest(n, F.lit(1.0)) - n
+
+
+def uniform_p_value(token: Column, model: TextModel) -> Column:
+    """Minus log10 of the p-value under text of a chi-squared as small as this.
+
+    Text has a noncentral chi-squared, whose cube root is nearly normal; the tail is bounded by exp(-z^2 / 2).
+    """
 
+    def of(ctx: Column) -> Column:
+        chi = F.greatest(_chi(ctx["body"], ctx["letters"]), F.lit(0.0))
+        free = F.length(ctx["letters"]) - 1.0
+        extra = F.greatest(F.length(ctx["body"]) - 1, F.lit(0)) * ctx["uneven"]
+        spread = 2 * (free + 2 * extra) / (9 * (free + extra) * (free + extra))
+        z = (1 - spread - F.pow(chi / (free + extra), F.lit(1 / 3))) / F.sqrt(spread)
+        return F.when(z > 0, z * z / (2 * math.log(10))).otherwise(0.0)
 
-def text_p_value(token: Column) -> Column:
-    """Minus log10 of the p-value of the class changes under plain text; 0 if there are no more than usual."""
+    def seen(letters: str) -> Column:
+        return F.struct(F.lit(letters).alias("letters"), F.lit(model.unevenness(letters)).alias("uneven"))
+
+    kind = _by_alphabet(token, seen)
+    return _bind(F.struct(_body(token).alias("body"), kind["letters"].alias("letters"), kind["uneven"].alias("uneven")), of)
+
+
+def serial_p_value(token: Column, model: TextModel) -> Column:
+    """Minus log10 of the p-value under text of neighbours that depend as little on each other as these.
+
+    The product of ``p(b) / p(b after a)`` is 1 in the mean of text, so by Markov's inequality its inverse bounds the p-value.
+    """
+    table = F.lit(model.pairs)
+    place = lambda c: F.ascii(c) - ord("a")
+
+    def of(letters: Column) -> Column:
+        n = F.size(letters)
+        both = F.zip_with(
+            F.slice(letters, F.lit(1), n - 1),
+            F.slice(letters, F.lit(2), n),
+            lambda a, b: F.when(a.between("a", "z") & b.between("a", "z"), F.get(table, 26 * place(a) + place(b))).otherwise(0.0),
+        )
+        return F.greatest(F.lit(0.0), -F.aggregate(both, F.lit(0.0), lambda s, x: s + x) / math.log(10))
+
+    return _bind(F.split(F.lower(token), ""), of)
+
+
+def runs_p_value(token: Column) -> Column:
+    """Minus log10 of the p-value of the runs of words, capitals and digits under plain text; 0 if there are no more than usual."""
     plain = F.regexp_replace(token, "[^A-Za-z0-9]+", "")
     n = F.greatest(F.length(plain) - 1, F.lit(1))
     # A word is one mark, a capital before it included; borders between unlike marks are counted.
@@ -126,13 +245,19 @@ def text_p_value(token: Column) -> Column:
     return F.when(rate > q, n * divergence / F.log(F.lit(10.0))).otherwise(0.0)
 
 
+def combined_p_value(token: Column, model: TextModel) -> Column:
+    """Minus log10 of Fisher's combination of the three p-values (chi-squared with six degrees of freedom)."""
+    log = math.log(10)
+    parts = uniform_p_value(token, model) + runs_p_value(token) + serial_p_value(token, model)
+    return _bind(parts, lambda e: e - F.log10(1 + e * log + e * log * e * log / 2))
+
+
 def battery(token: Column) -> Column:
     """Largest z of the chi-squared, runs and serial-correlation tests against a random token."""
     def of(ctx):
         body, letters = ctx["body"], ctx["letters"]
         n, k = F.length(body).cast("double"), F.length(letters).cast("double")
-        counts = F.transform(F.split(letters, ""), lambda c: n - F.length(F.replace(body, c, F.lit(""))))
-        chi = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x * x) * k / n - n
+        chi = _chi(body, letters)
         # Wilson and Hilferty: the cube root of chi-squared over its freedom is nearly normal.
         free = k - 1
         z_chi = (F.pow(F.greatest(chi, F.lit(0.0)) / free, F.lit(1 / 3)) - (1 - 2 / (9 * free))) / F.sqrt(2 / (9 * free))
@@ -162,24 +287,26 @@ def battery(token: Column) -> Column:
         )
         return F.struct(s["chi"], s["at"], s["n"], s["k"], mean.alias("mean"), pairs.alias("pairs"))
 
-    ctx = F.struct(F.regexp_replace(token, "[=]+$", "").alias("body"), _alphabet(token).alias("letters"))
+    ctx = F.struct(_body(token).alias("body"), _by_alphabet(token, F.lit).alias("letters"))
     return _bind(_bind(_bind(ctx, of), centre), finish)
 
 
-def _weighted(token: Column) -> Column:
+def _weighted(p: Column, token: Column) -> Column:
     """The p-value step of a candidate; long ones get a larger share of the error."""
-    return F.greatest(F.lit(0.0), text_p_value(token) + F.log10(F.length(token) / F.lit(float(MEAN_LENGTH))))
+    # Length alone makes no secret: a run of one mark, however long, has no p-value.
+    return F.when(p > 0, F.greatest(F.lit(0.0), p + F.log10(F.length(token) / F.lit(float(MEAN_LENGTH))))).otherwise(0.0)
 
 
 def candidates(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
 
 
-def discovery_threshold(docs: DataFrame, text: str = "text", fdr: float = FDR) -> float:
+def discovery_threshold(docs: DataFrame, model: TextModel, text: str = "text", fdr: float = FDR) -> float:
     """Least ``-log10 p`` that may be called a discovery (Benjamini-Hochberg on a grid of steps)."""
+    t = F.col("t")
     tokens = docs.select(F.explode(candidates(whole(text))).alias("t"))
     # Of two candidates with equal p-values both count, so repeated documents shift nothing.
-    steps = tokens.select(F.least(F.lit(STEPS), F.floor(10 * _weighted(F.col("t")))).cast("int").alias("step"))
+    steps = tokens.select(F.least(F.lit(STEPS), F.floor(10 * _weighted(combined_p_value(t, model), t))).cast("int").alias("step"))
     counts = dict(steps.groupBy("step").count().collect())  # at most STEPS + 1 rows
     total, above, best = sum(counts.values()), 0, float(STEPS)
     for step in range(STEPS, -1, -1):
@@ -189,26 +316,32 @@ def discovery_threshold(docs: DataFrame, text: str = "text", fdr: float = FDR) -
     return best
 
 
-def random_spans(text: Column, threshold: float) -> Column:
+def random_spans(text: Column, threshold: float, model: TextModel) -> Column:
     """Spans of candidates that pass the threshold and the battery, of kind ``random``."""
-    def passes(token):
-        # Length alone makes no secret: a run of one mark, however long, has no p-value.
-        return F.when((text_p_value(token) > 0) & (_weighted(token) >= threshold), battery(token) <= MAX_Z).otherwise(False)
+
+    def passes(token: Column) -> Column:
+        weight = _weighted(combined_p_value(token, model), token)
+        return F.when((weight > 0) & (weight >= threshold), battery(token) <= MAX_Z).otherwise(False)
 
     return _spans(text, CANDIDATE, 3, "random", passes)
 
 
 def scan_secrets(
-    docs: DataFrame, text: str = "text", threshold: float | None = None, name: str = "secret_spans"
+    docs: DataFrame,
+    text: str = "text",
+    threshold: float | None = None,
+    name: str = "secret_spans",
+    model: TextModel | None = None,
 ) -> DataFrame:
     """Add the column ``name``: base spans, and random ones that no base span covers whole, by start and kind.
 
-    A column of that name in ``docs`` is replaced.
+    A column of that name in ``docs`` is replaced. Without ``model`` and ``threshold`` both are taken from ``docs``.
     """
-    threshold = discovery_threshold(docs, text) if threshold is None else threshold
+    model = learn_text(docs, text) if model is None else model
+    threshold = discovery_threshold(docs, model, text) if threshold is None else threshold
     rows = docs.withColumn("_llm_text", whole(text))
     t = F.col("_llm_text")
-    every = F.sort_array(F.concat(*base_spans(t), random_spans(t, threshold)))
+    every = F.sort_array(F.concat(*base_spans(t), random_spans(t, threshold, model)))
 
     def fresh(spans: Column) -> Column:
         # In this order, base spans that begin no later come first: the farthest end of them decides.

@@ -39,7 +39,7 @@ def test_base_spans(spark):
         assert [tuple(s) for s in r.secret_spans] == sorted(base(r.text))
 
 
-def naive_p(token, rate=secrets.CHANGE_RATE):
+def naive_runs(token, rate=secrets.CHANGE_RATE):
     plain = re.sub("[^A-Za-z0-9]", "", token)
     n = max(1, len(plain) - 1)
     # Runs: words with their capital, other capitals, digits; words beside each other are one.
@@ -51,10 +51,58 @@ def naive_p(token, rate=secrets.CHANGE_RATE):
     return n * (seen * math.log(seen / rate) + (1 - seen) * math.log((1 - seen) / (1 - rate))) / math.log(10)
 
 
+def naive_model(values):
+    """Symbol and pair counts by Python's own matcher over every word."""
+    counts = {}
+    for w in (w for v in values for w in re.findall(secrets.WORD, v or "")):
+        low = w.lower()
+        for gram in [*w, *(low[i : i + 2] for i in range(len(w) - 1) if re.fullmatch("[a-z]{2}", low[i : i + 2]))]:
+            counts[gram] = counts.get(gram, 0) + 1
+    return counts
+
+
+def naive_chi(body, letters):
+    return sum(body.count(c) ** 2 for c in letters) * len(letters) / len(body) - len(body)
+
+
+def naive_uniform(token, letters, model):
+    body = token.rstrip("=")
+    fold = letters in (letters.lower(), letters.upper())
+    have = [sum(p for x, p in model.shares.items() if x == c or fold and x.lower() == c.lower()) for c in letters]
+    extra = (len(body) - 1) * (len(letters) * sum(p * p for p in have) / sum(have) ** 2 - 1)
+    free = len(letters) - 1
+    # Abdel-Aty: the cube root of a noncentral chi-squared over its mean is nearly normal.
+    spread = 2 / 9 * (free + 2 * extra) / (free + extra) ** 2
+    z = (1 - spread - (max(0, naive_chi(body, letters)) / (free + extra)) ** (1 / 3)) / spread**0.5
+    return max(0, z) ** 2 / 2 / math.log(10)
+
+
+def naive_serial(token, model):
+    low, total = token.lower(), 0.0
+    for a, b in zip(low, low[1:], strict=False):
+        if a in secrets.LOWER and b in secrets.LOWER:
+            total -= model.pairs[26 * secrets.LOWER.index(a) + secrets.LOWER.index(b)]
+    return max(0.0, total / math.log(10))
+
+
+def naive_letters(token):
+    return next(letters for pattern, letters in secrets.ALPHABETS if re.search(pattern, token))
+
+
+def naive_p(token, model):
+    x = 2 * math.log(10) * (naive_uniform(token, naive_letters(token), model) + naive_runs(token) + naive_serial(token, model))
+    return -math.log10(math.exp(-x / 2) * (1 + x / 2 + x * x / 8)) if x < 1400 else x / 2 / math.log(10) - math.log10(1 + x / 2 + x * x / 8)
+
+
+def naive_weight(token, model):
+    p = naive_p(token, model)
+    return max(0.0, p + math.log10(len(token) / secrets.MEAN_LENGTH)) if p > 0 else 0.0
+
+
 def naive_battery(body, letters):
     n, k = len(body), len(letters)
     at = [letters.index(c) + 1 for c in body]
-    chi = sum(body.count(c) ** 2 for c in letters) * k / n - n
+    chi = naive_chi(body, letters)
     free = k - 1
     z_chi = ((max(chi, 0) / free) ** (1 / 3) - (1 - 2 / (9 * free))) / math.sqrt(2 / (9 * free))
     high = [x > (k + 1) / 2 for x in at]
@@ -69,6 +117,9 @@ def naive_battery(body, letters):
 
 
 ALPHABETS = {
+    "lower": string.ascii_lowercase,
+    "upper": string.ascii_uppercase,
+    "letters": string.ascii_uppercase + string.ascii_lowercase,
     "hex": "0123456789ABCDEF",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "base64": string.ascii_uppercase + string.ascii_lowercase + string.digits + "+/",
@@ -80,12 +131,44 @@ def test_statistics_equal_plain_formulas(spark):
     rng = random.Random(4)
     rows = [("".join(rng.choice(a) for _ in range(n)), name) for name, a in ALPHABETS.items() for n in (40, 64, 200)]
     rows = [(t, name) for t, name in rows if name not in ("base64", "url") or re.search("[+/]" if name == "base64" else "[_-]", t)]
-    got = spark.createDataFrame(rows, "t string, name string").select("t", "name", secrets.text_p_value(F.col("t")), secrets.battery(F.col("t"))).collect()
-    for token, name, p, z in got:
-        assert p == pytest.approx(naive_p(token))
+    rows.append(("thequickbrownfoxjumpsover", "lower"))
+    model, t = secrets.text_model(naive_model(texts(5, 30))), F.col("t")
+    stats = secrets.uniform_p_value(t, model), secrets.runs_p_value(t), secrets.serial_p_value(t, model), secrets.combined_p_value(t, model)
+    got = spark.createDataFrame(rows, "t string, name string").select("t", "name", *stats, secrets.battery(t)).collect()
+    for token, name, uniform, runs, serial, p, z in got:
+        assert naive_letters(token) == ALPHABETS[name]
+        assert uniform == pytest.approx(naive_uniform(token, ALPHABETS[name], model))
+        assert runs == pytest.approx(naive_runs(token))
+        assert serial == pytest.approx(naive_serial(token, model))
+        assert p == pytest.approx(naive_p(token, model), abs=1e-9)
         assert z == pytest.approx(naive_battery(token, ALPHABETS[name]))
 
 
+def test_text_model_equals_plain_counts(spark):
+    values = [*random_texts(), *texts(3, 20), None, "", "An ab-cd aB 12 x", "word " * 3000]
+    model = secrets.learn_text(documents(spark, values, extra=True))
+    have = documents(spark, values).select("text").collect()
+    want = secrets.text_model(naive_model([r.text for r in have]))
+    assert model.shares == want.shares and model.pairs == want.pairs
+    assert sum(model.shares.values()) == pytest.approx(1)
+    # One symbol after another: the mean over text of p(b) / p(b after a) is 1 at most, mixed in as it is.
+    empty = secrets.text_model({})
+    assert empty.pairs == pytest.approx([0.0] * 676) and empty.unevenness(string.ascii_lowercase) == pytest.approx(0)
+
+
+def test_random_tokens_of_every_alphabet_are_found(spark):
+    rng = random.Random(16)
+    syllables = ["the", "ing", "ment", "ver", "ein", "lich", "tion", "quel", "on", "er", "a"]
+    words = ["".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(4000)]
+    glued = ["".join(rng.choice(syllables) for _ in range(12)) for _ in range(200)]
+    keys = [("".join(rng.choice(a) for _ in range(40)), name) for name, a in ALPHABETS.items() for _ in range(30)]
+    rows = [(i, f"{w} {k}", None, None, None) for i, (w, k) in enumerate(zip(words, [*(k for k, _ in keys), *glued, *[""] * 4000], strict=False))]
+    found = {r.doc_id: r.secret_spans for r in secrets.scan_secrets(spark.createDataFrame(rows, DOCS)).collect()}
+    for name in ALPHABETS:
+        assert sum(bool(found[i]) for i, (_, n) in enumerate(keys) if n == name) >= 29, name
+    assert sum(bool(found[i]) for i in range(len(keys), len(rows))) == 0
+
+
 def test_random_tokens_are_found_and_words_are_not(spark):
     rng = random.Random(6)
     letters = ALPHABETS["base64"]
@@ -93,13 +176,14 @@ def test_random_tokens_are_found_and_words_are_not(spark):
     plain = ["a-very-long-hyphenated-word-of-plain-text", "Donaudampfschifffahrtsgesellschaft", "http//example/org/path/to/some/page", "xy" * 30] * 40
     rows = [(i, f"word {k} word", None, None, None) for i, k in enumerate([*keys, *plain])]
     docs = spark.createDataFrame(rows, DOCS)
-    threshold = secrets.discovery_threshold(docs)
-    found = {r.doc_id: r.secret_spans for r in secrets.scan_secrets(docs, threshold=threshold).collect()}
+    model = secrets.learn_text(docs)
+    threshold = secrets.discovery_threshold(docs, model)
+    found = {r.doc_id: r.secret_spans for r in secrets.scan_secrets(docs, threshold=threshold, model=model).collect()}
     hits = [i for i, s in found.items() if s]
     assert all(i < 60 for i in hits) and len(hits) >= 50
     assert all(tuple(s) == (5, 3, 5 + len(keys[i]), "random") for i in hits for s in found[i] if s.name == "random")
     # The rule itself: the most steps whose estimated share of false finds is small enough.
-    weighted = [max(0.0, naive_p(t) + math.log10(len(t) / secrets.MEAN_LENGTH)) for _, x, *_ in rows for t in re.findall(secrets.CANDIDATE, x)]
+    weighted = [naive_weight(t, model) for _, x, *_ in rows for t in re.findall(secrets.CANDIDATE, x)]
     steps = [min(secrets.STEPS, math.floor(10 * w)) for w in weighted]
     fits = [s / 10 for s in set(steps) | set(range(max(steps) + 1)) if len(steps) * 10 ** (-s / 10) <= secrets.FDR * sum(x >= s for x in steps)]
     assert threshold == pytest.approx(min(fits))
@@ -114,7 +198,7 @@ def test_redaction_leaves_the_rest(spark):
 
 def test_empty(spark):
     none = spark.createDataFrame([], DOCS)
-    assert secrets.scan_secrets(none).count() == 0 and secrets.discovery_threshold(none) == secrets.STEPS
+    assert secrets.scan_secrets(none).count() == 0 and secrets.discovery_threshold(none, secrets.learn_text(none)) == secrets.STEPS
     assert secrets.redact(none).columns == none.columns
 
 
@@ -171,8 +255,7 @@ def test_dump_of_many_keys_in_one_text(spark):
 def test_redaction_equals_a_plain_cut(spark):
     values = [v for v in (*random_texts(), "deadbeef" * 600 + " é " + "AKIA" + "Z9" * 1500) if v]
     docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(values)], DOCS)
-    threshold = secrets.discovery_threshold(docs)
-    spans = {r.doc_id: r.secret_spans for r in secrets.scan_secrets(docs, threshold=threshold).collect()}
+    spans = {r.doc_id: r.secret_spans for r in secrets.scan_secrets(docs).collect()}
     for r in secrets.redact(docs.withColumn("secret_spans", F.lit("own"))).collect():
         out, at, text = "", 0, values[r.doc_id]
         for s in spans[r.doc_id]:
