@@ -1,9 +1,11 @@
 """Rules given as tables of any size: URL patterns by a literal index, path prefixes by expansion.
 
-A pattern that needs a literal text is found by it: the first ``GRAM`` characters of its longest
-required literal are its key, every URL is cut into its pieces of that length inside its row, and
-an equi-join brings together only patterns and URLs that share one. The regular expression decides
-on these pairs alone. Patterns without such a literal are tried on all URLs of their site.
+A pattern that needs a literal text is found by it: its longest required literal is its key. Every
+URL is cut into its pieces of ``GRAM`` characters inside its row; those that begin a literal tell how
+long the literals are that do, so a URL writes out only pieces of these lengths at these places, and
+an equi-join brings together only patterns and URLs that hold their whole literal. The regular
+expression decides on these pairs alone. Patterns without such a literal are tried on all URLs of
+their site.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ def literal_factor(pattern: str) -> str | None:
         if c == "|":
             return None
         if c == "\\":
-            if i + 1 < n and not pattern[i + 1].isalnum():
+            if i + 1 < n and not (pattern[i + 1].isascii() and pattern[i + 1].isalnum()):
                 literal = pattern[i + 1]
             elif i + 1 < n and pattern[i + 1] not in "bBdDwWsSAzZ":
                 return None
@@ -96,28 +98,45 @@ def _past(pattern: str, i: int) -> int | None:
 
 
 def index_rules(url_rules: DataFrame) -> DataFrame:
-    """``site, kind, pattern, gram``: the key of each pattern, null where it has none."""
+    """``site, kind, pattern, gram, literal``: the key of each pattern and how it begins, null where it has none."""
     ship_package(url_rules.sparkSession)
 
     def keyed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            factors = part["pattern"].map(literal_factor)
-            yield part.assign(gram=factors.map(lambda f: f[:GRAM] if f and len(f) >= GRAM else None))
+            factors = [f if f and len(f) >= GRAM else None for f in map(literal_factor, part["pattern"])]
+            yield part.assign(gram=[f and f[:GRAM] for f in factors], literal=factors)
 
     rules = url_rules.select("site", "kind", "pattern").filter("pattern is not null").distinct()
-    return cut_lineage(rules.mapInPandas(keyed, "site string, kind string, pattern string, gram string"))
+    return cut_lineage(rules.mapInPandas(keyed, "site string, kind string, pattern string, gram string, literal string"))
+
+
+def rule_candidates(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """``site, _url, kind, pattern``: the distinct ``urls(site, _url)`` with the patterns whose literal they hold."""
+    size = F.length("_url")
+    place = F.sequence(F.lit(1), size - GRAM + 1)
+    every = F.transform(place, lambda i: F.substring(F.col("_url"), i, F.lit(GRAM)))
+    pieces = urls.filter(size >= GRAM).select("site", "_url", F.explode(F.array_distinct(every)).alias("gram"))
+    known = rules.filter("gram is not null")
+    sizes = known.groupBy("site", "gram").agg(F.collect_set(F.length("literal")).alias("_sizes"))
+    begun = pieces.join(broadcast_if_small(sizes, MAX_INDEX_ROWS), ["site", "gram"])
+    starts = F.filter(place, lambda i: F.substring(F.col("_url"), i, F.lit(GRAM)) == F.col("gram"))
+    texts = F.transform(
+        starts,
+        lambda i: F.transform(
+            F.filter("_sizes", lambda n: i + n - 1 <= size), lambda n: F.xxhash64(F.substring(F.col("_url"), i, n))
+        ),
+    )
+    held = begun.select("site", "_url", F.explode(F.array_distinct(F.flatten(texts))).alias("_key"))
+    known = known.select("site", F.xxhash64("literal").alias("_key"), "kind", "pattern")
+    return held.join(broadcast_if_small(known, MAX_INDEX_ROWS), ["site", "_key"]).select("site", "_url", "kind", "pattern")
 
 
 def filter_urls_by_index(links: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     """``discovery.filter_urls_by_table`` for rule tables with many patterns (``index_rules``)."""
     target = F.col(url)
     urls = links.select("site", target.alias("_url")).distinct()
-    every = F.transform(F.sequence(F.lit(1), F.length("_url") - GRAM + 1), lambda i: F.substring(F.col("_url"), i, F.lit(GRAM)))
-    pieces = urls.filter(F.length("_url") >= GRAM).select("site", "_url", F.explode(F.array_distinct(every)).alias("gram"))
-    known = broadcast_if_small(rules.filter("gram is not null"), MAX_INDEX_ROWS)
-    pairs = pieces.join(known, ["site", "gram"]).select("site", "_url", "kind", "pattern")
-    rest = rules.filter("gram is null").drop("gram")
-    pairs = pairs.unionByName(urls.join(broadcast_if_small(rest), "site").select("site", "_url", "kind", "pattern"))
+    rest = rules.filter("gram is null").select("site", "kind", "pattern")
+    pairs = rule_candidates(urls, rules).unionByName(urls.join(broadcast_if_small(rest), "site").select("site", "_url", "kind", "pattern"))
     hits = pairs.filter(F.rlike("_url", F.col("pattern"))).groupBy("site", "_url")
     hits = hits.agg(F.bool_or(F.col("kind") == "include").alias("_in"), F.bool_or(F.col("kind") == "exclude").alias("_out"))
     limited = rules.filter("kind = 'include'").select("site").distinct().withColumn("_limited", F.lit(True))

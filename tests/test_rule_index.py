@@ -8,7 +8,7 @@ import re
 import pytest
 
 from folioflow.operators.discovery import filter_urls_by_table
-from folioflow.operators.rule_index import filter_urls_by_index, index_rules, literal_factor, prefix_category_by_table
+from folioflow.operators.rule_index import filter_urls_by_index, index_rules, literal_factor, prefix_category_by_table, rule_candidates
 
 
 @pytest.mark.parametrize(
@@ -30,6 +30,7 @@ from folioflow.operators.rule_index import filter_urls_by_index, index_rules, li
         (r"tab\there", None),
         (r"word\bnext", "word"),
         (r"lazy+?more", "lazy"),
+        (r"/caf\é/\?x\=ü$", "/café/?x=ü"),
     ],
 )
 def test_literal_factor(pattern, factor):
@@ -64,6 +65,23 @@ def test_thousands_of_patterns(spark):
     assert rows(got.filter("url is not null")) == rows(want)
 
 
+def test_patterns_that_begin_alike_meet_only_their_own_urls(spark):
+    paths = [f"/en/{n}{end}" for n in range(700) for end in ("", ".html", "?a=é")]
+    quoted = [re.sub("([^A-Za-z0-9/])", r"\\\1", p) for p in paths]
+    rules = spark.createDataFrame([("s", "exclude", f"^[a-z]+://[^/]*{q}$") for q in quoted[::3] + quoted[2::6]], "site string, kind string, pattern string")
+    # The literals of short addresses are the beginnings of longer ones; one is there several times.
+    links = [(i, "s", f"https://h.org{p}") for i, p in enumerate(paths)] + [(9001, "s", "https://h.org/en/7/en/7/en/7"), (9002, "s", "/en"), (9003, "s", None)]
+    frame = spark.createDataFrame(links, "n long, site string, url string")
+    indexed = index_rules(rules)
+    assert indexed.filter("gram is null").count() == 0
+    pairs = rule_candidates(frame.select("site", frame.url.alias("_url")).distinct(), indexed)
+    holds = sum(q.replace("\\", "") in p for p in paths for q in quoted[::3] + quoted[2::6])
+    assert holds <= pairs.count() <= holds + 2 and holds < 5 * len(paths)
+    kept = {r.n for r in filter_urls_by_index(frame, indexed).collect()}
+    barred = {*paths[::3], *paths[2::6]}
+    assert kept == {i for i, p in enumerate(paths) if p not in barred} | {9001, 9002, 9003}
+
+
 def test_prefixes_as_a_table(spark):
     paths = ["/a/b/c", "/a/b", "/ab/c", "", "/x" * 3000, "/ä/ö"]
     rows = [(i, "s", f"https://h.org{p}?q=1") for i, p in enumerate(paths)] + [(90, "t", "https://h.org/a/b"), (91, "s", None), (0, "s", "https://h.org/a/b/c?q=1")]
