@@ -5,14 +5,20 @@ place. Files are complete when they get their name, and a task that runs again p
 files in the same place. If the write fails as a whole, everything noted is removed again; when it
 succeeds the working folder goes and ``_SUCCESS`` appears. The driver sees counts only.
 
+Reading deals the names of a folder out by their hash: a task runs through the names, of which it
+keeps none but its own, and reads those files. There is no list of all files on the driver and no
+task for a handful of them, however many there are.
+
 Paths may be local, ``file:`` or any address Arrow's file systems open.
 """
 
 from __future__ import annotations
 
+import os
 import posixpath
 import uuid
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -20,11 +26,14 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.types import ArrayType, StructType
 
 from folioflow.session import ship_package
 
 FORMAT = "item_files"
 WORK = "_writing"
+#: Lines and bytes after which a reading task hands on a batch.
+BATCH_LINES, BATCH_BYTES = 512, 4 * 1024 * 1024
 
 
 def _open(path: str) -> tuple[arrow_fs.FileSystem, str]:
@@ -120,7 +129,68 @@ def write_item_files(items: DataFrame, path: str) -> None:
     rows.write.format(FORMAT).mode("append").save(path)
 
 
+def _listed(files: arrow_fs.FileSystem, root: str) -> Iterator[str]:
+    """Names of the item files of a folder; those of a local one are never held all at once."""
+    if isinstance(files, arrow_fs.LocalFileSystem):
+        with os.scandir(root) as entries:
+            names = (e.name for e in entries if e.name.endswith(".json") and e.is_file())
+            yield from (n for n in names if _shown(n))
+    else:
+        found = files.get_file_info(arrow_fs.FileSelector(root))
+        names = (f.base_name for f in found if f.type == arrow_fs.FileType.File and f.base_name.endswith(".json"))
+        yield from (n for n in names if _shown(n))
+
+
+def _shown(name: str) -> bool:
+    return name[0] != "." and (name[0] != "_" or "=" in name)
+
+
+def _lines_of(path: str, parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Lines of the files whose name's hash leaves the row's number when divided by ``parts``."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, root = _open(path)
+        names, lines, size = [], [], 0
+        for part in (n for batch in batches for n in batch.column(0).to_pylist()):
+            for name in _listed(files, root):
+                if zlib.crc32(name.encode()) % parts != part:
+                    continue
+                with files.open_input_stream(posixpath.join(root, name)) as file:
+                    data = file.read()
+                for line in data.decode("utf-8-sig", "replace").replace("\r", "\n").split("\n"):
+                    if line and not line.isspace():
+                        names.append(name)
+                        lines.append(line)
+                size += len(data)
+                if len(lines) >= BATCH_LINES or size >= BATCH_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(lines, pa.string())], ["_file", "_line"])
+                    names, lines, size = [], [], 0
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(lines, pa.string())], ["_file", "_line"])
+
+    return read
+
+
 def read_item_files(spark, path: str, schema) -> DataFrame:
-    """Items and the name of the file each came from."""
-    rows = spark.read.schema(schema).option("pathGlobFilter", "*.json").json(path)
-    return rows.withColumn("file_name", F.col("_metadata.file_name"))
+    """Items and the name of the file each came from: the ``*.json`` files of a folder, read when the rows are.
+
+    Where a field that is to be text holds a fraction, an object or an array (``write_item_files`` writes
+    none), it comes as JSON writes it anew: 1.50 as 1.5, no white space between parts.
+    What Arrow cannot open, or is no folder (a pattern, say), is read by Spark's own source.
+    """
+    try:
+        files, root = _open(path)
+        folder = files.get_file_info(root).type == arrow_fs.FileType.Directory
+    except (pa.ArrowException, OSError):
+        folder = False
+    if not folder:
+        rows = spark.read.schema(schema).option("pathGlobFilter", "*.json").json(path)
+        # Spark gives names as they are written in a URI.
+        return rows.withColumn("file_name", F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))))
+    ship_package(spark)
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    parts = 2 * spark.sparkContext.defaultParallelism
+    lines = spark.range(0, parts, 1, parts).mapInArrow(_lines_of(path, parts), "_file string not null, _line string")
+    # A line is an item, as a rule, or a list of items.
+    many = F.when(F.ltrim("_line").startswith("["), F.from_json("_line", ArrayType(fields)))
+    items = lines.select("_file", F.explode(F.coalesce(many, F.array(F.from_json("_line", fields)))).alias("_item"))
+    return items.select("_item.*", "_file").withColumn("file_name", F.col("_file")).drop("_file")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
@@ -38,3 +39,44 @@ def test_a_failed_write_leaves_no_file(spark, tmp_path, bad):
     with pytest.raises(Exception, match="no file can have the name"):
         write_item_files(rows.repartition(8), path)
     assert not os.path.exists(path) or os.listdir(path) == []
+
+
+def test_reading_needs_no_task_per_few_files(spark, tmp_path):
+    path = str(tmp_path / "out")
+    write_item_files(spark.range(1500).select(F.concat(F.lit("f"), "id", F.lit(".json")).alias("file_name"), F.col("id").alias("n")), path)
+    back = read_item_files(spark, path, "n long")
+    assert back.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    assert back.filter("file_name = concat('f', n, '.json')").agg(F.count("n"), F.sum("n")).first()[:] == (1500, 1500 * 1499 // 2)
+
+
+def test_reading_odd_files_gives_the_rows_of_the_json_source_and_plain_names(spark, tmp_path):
+    odd = {
+        "a.json": b'{"title": "a", "n": 1, "tags": ["x", null]}',
+        "two lines.json": b'{"title": "b"}\r\n\r\n  \n{"n": 2}\r{"title": "c"}\n',
+        "list.json": b' [{"title": "d"}, {"n": 4}]',
+        "none.json": b"[]",
+        "empty.json": b"",
+        "broken.json": b'{"title": "e", "n": 5\n[{"title": "f"\nword\n3',
+        "wrong.json": b'{"title": {"x":1.5}, "n": "6", "tags": 7}',
+        "number.json": b'{"title": 1.5, "n": 1.5, "tags": ["1", 2, {}]}',
+        "bä%20.json": '\ufeff{"title": "\u00fc\u2028\u0085", "file_name": "mine"}'.encode(),
+        ".hidden.json": b'{"n": 8}',
+        "_hidden.json": b'{"n": 9}',
+        "_brand=x.json": b'{"n": 10}',
+        "a+ %.json": b'{"n": 13}',
+        "other.txt": b'{"n": 11}',
+        "upper.JSON": b'{"n": 12}',
+    }
+    for name, data in odd.items():
+        (tmp_path / name).write_bytes(data)
+    (tmp_path / "folder.json").mkdir()
+    rows = lambda df: sorted(map(str, df.collect()))
+    for fields in ("title string, n long, tags array<string>", "n int, FILE_NAME string, title string", "title string, _corrupt_record string"):
+        want = spark.read.schema(fields).option("pathGlobFilter", "*.json").json(str(tmp_path))
+        want = want.withColumn("file_name", F.col("_metadata.file_name"))
+        got = read_item_files(spark, f"file://{tmp_path}", fields)
+        assert got.schema == want.schema
+        assert rows(got) == [unquote(r) for r in rows(want)]
+    assert rows(read_item_files(spark, str(tmp_path / "[ab]*+ *.json"), "n int")) == ["Row(n=13, file_name='a+ %.json')"]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_item_files(spark, str(tmp_path / "missing"), "n int")
