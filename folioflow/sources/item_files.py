@@ -2,7 +2,8 @@
 
 A task writes its files to a folder of its own, then notes their names and moves them to their
 place. Files are complete when they get their name, and a task that runs again puts the same
-files in the same place. If the write fails as a whole, everything noted is removed again; when it
+files in the same place. If the write fails as a whole, its working folder is moved away first, so
+that tasks that still run can place no more files, and everything noted is removed again; when it
 succeeds the working folder goes and ``_SUCCESS`` appears. The driver sees counts only.
 
 Reading deals the names of a folder out by their hash: a task runs through the names, of which it
@@ -14,6 +15,7 @@ Paths may be local, ``file:`` or any address Arrow's file systems open.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import posixpath
 import uuid
@@ -31,7 +33,7 @@ from pyspark.sql.types import ArrayType, StructType
 from folioflow.session import ship_package
 
 FORMAT = "item_files"
-WORK = "_writing"
+WORK, FAILED = "_writing", "_failed"
 #: Lines and bytes after which a reading task hands on a batch.
 BATCH_LINES, BATCH_BYTES = 512, 4 * 1024 * 1024
 
@@ -49,12 +51,19 @@ class Written(WriterCommitMessage):
 
 class _Writer(DataSourceArrowWriter):
     def __init__(self, path: str):
-        self.path = path
+        self.path, self.job = path, uuid.uuid4().hex
+        files, root = _open(path)
+        files.create_dir(self._top(root), recursive=True)
+
+    def _top(self, root: str, kind: str = WORK) -> str:
+        return posixpath.join(root, f"{kind}-{self.job}")
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         files, root = _open(self.path)
-        mine = posixpath.join(root, WORK, uuid.uuid4().hex)
-        files.create_dir(posixpath.join(mine, "files"), recursive=True)
+        # Not recursive: the folder of a write that has failed does not come again.
+        mine = posixpath.join(self._top(root), uuid.uuid4().hex)
+        files.create_dir(mine, recursive=False)
+        files.create_dir(posixpath.join(mine, "files"), recursive=False)
         n = 0
         try:
             with files.open_output_stream(posixpath.join(mine, "names")) as names:
@@ -67,7 +76,8 @@ class _Writer(DataSourceArrowWriter):
                         names.write(name.encode() + b"\n")
                         n += 1
         except BaseException:
-            files.delete_dir(mine)
+            with contextlib.suppress(OSError):  # gone when the write has failed elsewhere
+                files.delete_dir(mine)
             raise
         for name in _names(files, mine):
             files.move(posixpath.join(mine, "files", name), posixpath.join(root, name))
@@ -75,25 +85,24 @@ class _Writer(DataSourceArrowWriter):
 
     def commit(self, messages: list[Written | None]) -> None:
         files, root = _open(self.path)
-        files.create_dir(root, recursive=True)
-        self._clear(files, root)
+        files.delete_dir(self._top(root))
         with files.open_output_stream(posixpath.join(root, "_SUCCESS")):
             pass
 
     def abort(self, messages: list[Written | None]) -> None:
         files, root = _open(self.path)
-        top = posixpath.join(root, WORK)
-        for task in files.get_file_info(arrow_fs.FileSelector(top, allow_not_found=True)):
+        top, gone = self._top(root), self._top(root, FAILED)
+        try:
+            files.move(top, gone)
+        except (pa.ArrowException, OSError):  # an object store has no folders to move
+            gone = top
+        for task in files.get_file_info(arrow_fs.FileSelector(gone, allow_not_found=True)):
             for name in _names(files, task.path):
                 here = posixpath.join(root, name)
                 if files.get_file_info(here).type == arrow_fs.FileType.File:
                     files.delete_file(here)
-        self._clear(files, root)
-
-    def _clear(self, files: arrow_fs.FileSystem, root: str) -> None:
-        top = posixpath.join(root, WORK)
-        if files.get_file_info(top).type == arrow_fs.FileType.Directory:
-            files.delete_dir(top)
+        if files.get_file_info(gone).type == arrow_fs.FileType.Directory:
+            files.delete_dir(gone)
 
 
 def _names(files: arrow_fs.FileSystem, task: str) -> Iterator[str]:

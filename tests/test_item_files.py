@@ -6,9 +6,11 @@ import json
 import os
 from urllib.parse import unquote
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from folioflow.sources import item_files
 from folioflow.sources.item_files import read_item_files, write_item_files
 
 ITEM = "file_name string, title string, body string, tags array<string>"
@@ -41,6 +43,30 @@ def test_a_failed_write_leaves_no_file(spark, tmp_path, bad):
     assert not os.path.exists(path) or os.listdir(path) == []
 
 
+def test_tasks_that_outlive_a_failed_write_place_no_files(tmp_path, monkeypatch):
+    path = str(tmp_path / "out")
+    batch = pa.RecordBatch.from_pydict({"file_name": [f"f{i}.json" for i in range(20)], "json": ["{}"] * 20})
+    writer = item_files.ItemFiles({"path": path}).writer(None, False)
+    names = item_files._names
+
+    def failing(files, task):
+        """The write fails while this task gives its files their names."""
+        for n, name in enumerate(names(files, task)):
+            if n == 7:
+                monkeypatch.setattr(item_files, "_names", names)
+                writer.abort([])
+            yield name
+
+    monkeypatch.setattr(item_files, "_names", failing)
+    for _ in range(2):  # the second one only starts afterwards
+        with pytest.raises(OSError):
+            writer.write(iter([batch]))
+    assert os.listdir(path) == []
+    other = item_files.ItemFiles({"path": path}).writer(None, False)
+    other.commit([other.write(iter([batch]))])
+    assert len(os.listdir(path)) == 21
+
+
 def test_reading_needs_no_task_per_few_files(spark, tmp_path):
     path = str(tmp_path / "out")
     write_item_files(spark.range(1500).select(F.concat(F.lit("f"), "id", F.lit(".json")).alias("file_name"), F.col("id").alias("n")), path)
