@@ -140,7 +140,8 @@ def plan_mix(
     counts = targets.select(F.col("source").alias("cs"), F.greatest("n", F.lit(1)).alias("n"))
     loose = units.filter("f > 1e-9").select("source", "k1", "k2", F.col("size").cast("double").alias("w"), "f")
     rounded = round_units(loose, counts, seed).select(F.col("k1").alias("r1"), F.col("k2").alias("r2"), F.col("f").alias("extra"))
-    plan = units.join(rounded, (F.col("k1") == F.col("r1")) & (F.col("k2") == F.col("r2")), "left")
+    # Units come out of an explode here, which the optimizer sizes too low: they are not for a broadcast.
+    plan = units.join(rounded.hint("merge"), (F.col("k1") == F.col("r1")) & (F.col("k2") == F.col("r2")), "left")
     plan = plan.select("k1", "k2", "m", (F.col("more") + F.coalesce("extra", F.lit(0.0))).cast("long").alias("extra"))
     rows = rows.join(plan, (F.col("_llm_k1") == F.col("k1")) & (F.col("_llm_k2") == F.col("k2")), "left")
     # Of m equal rows, the first ones get the extra copies.

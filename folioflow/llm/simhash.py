@@ -107,7 +107,8 @@ def near_pairs(fps: DataFrame, radius: int = RADIUS, hot: int = HOT_SEGMENT) ->
     found = None
     for left, right, on in [(index, probes, keys), *more]:
         same = [F.col(f"i.{k}") == F.col(f"p.{k}") for k in on]
-        pairs = left.alias("i").join(right.alias("p"), [*same, F.col("i.fp") != F.col("p.fp"), close])
+        # Both sides come out of an explode, which the optimizer takes for one row each: it would broadcast them.
+        pairs = left.alias("i").join(right.alias("p").hint("merge"), [*same, F.col("i.fp") != F.col("p.fp"), close])
         pairs = pairs.select(F.least("i.fp", "p.fp").alias("a"), F.greatest("i.fp", "p.fp").alias("b"))
         found = pairs if found is None else found.union(pairs)
     return found.distinct()

@@ -32,3 +32,17 @@ def documents(spark, values: list[str | None], extra: bool = False):
         for name in ("size", "id", "fp", "component", "count", "k1", "score", "x", "a.b", "units", "key", "spans"):
             df = df.withColumn(name, F.lit(name))
     return df.repartition(3)
+
+
+def broadcast_explodes(df) -> list[str]:
+    """Explodes of the plan that a broadcast takes without a shuffle between, after which sizes are known."""
+    found, above = [], []
+    for line in df._jdf.queryExecution().executedPlan().toString().split("\n"):
+        name = line.lstrip(" :+-*")
+        deep = len(line) - len(name)
+        above = [x for x in above if x[0] < deep]
+        if name.startswith(("Exchange", "BroadcastExchange")):
+            above.append((deep, name.startswith("BroadcastExchange")))
+        elif name.startswith("Generate explode") and above and above[-1][1]:
+            found.append(line)
+    return found

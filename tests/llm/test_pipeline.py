@@ -5,11 +5,11 @@ from __future__ import annotations
 import os
 
 import pytest
-from llm.helpers import DOCS, documents, texts
+from llm.helpers import DOCS, broadcast_explodes, documents, texts
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from folioflow.llm import packing, simhash
+from folioflow.llm import mixing, packing, simhash
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -26,6 +26,22 @@ def folder(spark, tmp_path_factory):
     return path
 
 
+def test_exploded_rows_are_not_broadcast(spark, folder, monkeypatch):
+    docs, plans = spark.read.parquet(f"{folder}/documents.parquet"), []
+
+    def seen(of):
+        def run(df, *more):
+            plans.append(broadcast_explodes(df))
+            return of(df, *more)
+
+        return run
+
+    monkeypatch.setattr(simhash, "components", seen(simhash.components))
+    assert corpus_pipeline.drop_copies(spark, docs, folder).count()
+    plans.append(broadcast_explodes(mixing.plan_mix(docs)))
+    assert plans == [[], []]
+
+
 def test_stages(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     names = [name for name, _ in corpus_pipeline.STAGES]
