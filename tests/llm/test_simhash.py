@@ -7,11 +7,12 @@ import random
 import pyarrow as pa
 import pytest
 import xxhash
-from llm.helpers import DOCS, documents, texts
+from llm.helpers import DOCS, broadcast_explodes, documents, texts
 from pyspark.sql import functions as F
 
 from folioflow.llm import simhash
 from folioflow.llm.common import _forest, components, hash_sample
+from folioflow.session import cut_lineage
 
 
 def naive(text):
@@ -63,6 +64,15 @@ def test_pairs_equal_all_pairs(spark, hot):
     assert got == want and want
 
 
+@pytest.mark.parametrize("hot", [4096, 3])
+def test_exploded_keys_are_not_broadcast(spark, hot):
+    rng = random.Random(6)
+    rows = [(rng.getrandbits(62),) for _ in range(50)] + [(7 << 32 | i,) for i in range(20)]
+    fps = cut_lineage(spark.createDataFrame(rows, "fp long"))  # a written table: its size is known and small
+    assert broadcast_explodes(fps.alias("i").join(simhash._segments(fps).alias("p"), "fp"))
+    assert broadcast_explodes(simhash.near_pairs(fps, hot=hot)) == []
+
+
 def test_one_of_each_group_stays(spark):
     values = texts(2, 30)
     docs = documents(spark, values, extra=True)
